@@ -84,7 +84,8 @@ def same_row(a: DataFrame, b: DataFrame) -> Column:
 
 
 def lower_ascii(c: Column) -> Column:
-    return F.translate(c, UPPER, LOWER)
+    """A-Z only. On ASCII text that is ``lower``, which is much faster than ``translate``."""
+    return F.when(F.length(c) == F.octet_length(c), F.lower(c)).otherwise(F.translate(c, UPPER, LOWER))
 
 
 def raw(batch: pa.RecordBatch | pa.Table, name: str) -> list[bytes | None]:

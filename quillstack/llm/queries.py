@@ -5,8 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from .common import table
+from .decontamination import decontaminate
+from .language import identify
 from .line_dedup import line_dedup
 from .mixing import mix
+from .simhash import near_duplicates
 from .token_binary import token_output
 
 
@@ -20,12 +23,26 @@ def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup(table(spark, sf_dir, "documents"), min_docs=10, min_chars=1).drop("kept")
 
 
+def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"), shingle=4, limit=4).select("doc_id", "fingerprint", "component_id")
+
+
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return identify(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model")).drop("rk")
+
+
 def op6_pareto_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("rk")
+
+
 def queries():
-    return {f.__name__: f for f in (op2_token_binary, op3_line_dedup, op6_pareto_mix)}
+    return {f.__name__: f for f in (op2_token_binary, op3_line_dedup, op4_simhash, op5_language_id, op6_pareto_mix, op9_decontamination)}
 
 
 def oracle_sql():
