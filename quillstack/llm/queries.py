@@ -10,9 +10,14 @@ from .language import identify
 from .line_dedup import line_dedup
 from .mixing import mix
 from .simhash import near_duplicates
+from .substring_dedup import substring_dedup
 from .token_binary import token_output
 
 
+def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup(table(spark, sf_dir, "documents"), window=20, with_text=False).drop("rk", "removed")
+
+
 def op2_token_binary(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -42,7 +47,7 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries():
-    return {f.__name__: f for f in (op2_token_binary, op3_line_dedup, op4_simhash, op5_language_id, op6_pareto_mix, op9_decontamination)}
+    return {f.__name__: f for f in (op1_substring_dedup, op2_token_binary, op3_line_dedup, op4_simhash, op5_language_id, op6_pareto_mix, op9_decontamination)}
 
 
 def oracle_sql():
