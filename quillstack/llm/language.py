@@ -27,6 +27,7 @@ LONGEST, SHORT_WORD = 16, 32
 MARK = "▁"
 CACHE_WORDS = 200_000
 UNKNOWN = 1e-7
+U = np.uint64
 
 
 class Pieces:
@@ -75,7 +76,7 @@ class Unigrams:
             h, power = np.zeros(len(codes), np.uint64), np.uint64(1)
             for length in range(1, min(i, self.pieces.longest) + 1):
                 h = h + codes[:, i - length].astype(np.uint64) * power
-                power = power * self.pieces.BASE
+                power = U(int(power) * int(self.pieces.BASE) & 0xFFFFFFFFFFFFFFFF)
                 at = self.pieces.find(h)
                 if length == 1:
                     yield i, 1, np.where(at < 0, self.unknown, at), None

@@ -9,9 +9,11 @@ from .decontamination import decontaminate
 from .language import identify
 from .line_dedup import line_dedup
 from .mixing import mix
+from .secrets import find_secrets
 from .simhash import near_duplicates
 from .substring_dedup import substring_dedup
 from .token_binary import token_output
+from .warc import read_archive, write_archive
 
 
 def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -42,12 +44,21 @@ def op6_pareto_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find_secrets(table(spark, sf_dir, "documents")).drop("rk")
+
+
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("rk")
 
 
+def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    files = write_archive(table(spark, sf_dir, "pages"))
+    return read_archive(files, with_payload=False).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def queries():
-    return {f.__name__: f for f in (op1_substring_dedup, op2_token_binary, op3_line_dedup, op4_simhash, op5_language_id, op6_pareto_mix, op9_decontamination)}
+    return {f.__name__: f for f in (op1_substring_dedup, op2_token_binary, op3_line_dedup, op4_simhash, op5_language_id, op6_pareto_mix, op7_secrets, op9_decontamination, op10_warc)}
 
 
 def oracle_sql():
