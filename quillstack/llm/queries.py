@@ -8,6 +8,7 @@ from .common import table
 from .decontamination import decontaminate
 from .language import identify
 from .line_dedup import line_dedup
+from .media import read_payloads, store
 from .mixing import mix
 from .secrets import find_secrets
 from .simhash import near_duplicates
@@ -48,6 +49,10 @@ def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_secrets(table(spark, sf_dir, "documents")).drop("rk")
 
 
+def op8_progressive_jpeg(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read_payloads(store(table(spark, sf_dir, "documents"))).drop("rk")
+
+
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("rk")
 
@@ -58,7 +63,7 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries():
-    return {f.__name__: f for f in (op1_substring_dedup, op2_token_binary, op3_line_dedup, op4_simhash, op5_language_id, op6_pareto_mix, op7_secrets, op9_decontamination, op10_warc)}
+    return {f.__name__: f for f in (op1_substring_dedup, op2_token_binary, op3_line_dedup, op4_simhash, op5_language_id, op6_pareto_mix, op7_secrets, op8_progressive_jpeg, op9_decontamination, op10_warc)}
 
 
 def oracle_sql():
