@@ -65,7 +65,7 @@ def occurrences(docs: DataFrame, benchmark: DataFrame, n: int = WINDOW) -> tuple
     second = postings.select(F.col("rk").alias("rk2"), F.col("doc_id").alias("doc2"), F.col("term").alias("term2"), F.col("at").alias("at2")).distinct()
     both = found.where("b is not null").join(second, (F.col("rk") == F.col("rk2")) & F.col("doc_id").eqNullSafe(F.col("doc2")) & (F.col("b") == F.col("term2")) & (F.col("start") + F.col("b_at") == F.col("at2")), "left_semi")
     either = both.unionByName(found.where("b is null"))
-    exact = either.where(F.slice("near", F.col("start") - F.col("near_at") + 1, F.col("length")) == F.col("terms"))
+    exact = either.where(F.slice("near", F.greatest(F.col("start") - F.col("near_at") + 1, F.lit(1)), F.col("length")) == F.col("terms"))
     return exact.select("doc_id", "rk", "start", "length", "win").distinct(), windows
 
 
