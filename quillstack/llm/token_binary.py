@@ -13,8 +13,10 @@ text (null first). An empty table gives no rows.
 from __future__ import annotations
 
 import os
+import re
 import struct
 import zlib
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -26,7 +28,7 @@ from .common import raw, ship, slices, width, written
 
 BLOCK, PERCENTILE, END_ID = 128, 0.9, 2
 SHARD_TOKENS = 1 << 20
-CACHE_WORDS = 200_000
+CACHE_WORDS = 400_000
 MAGIC = b"QPFR"
 
 
@@ -121,11 +123,21 @@ def read_shard(data: bytes) -> tuple[int, list[int | None], np.ndarray, np.ndarr
 
 
 # ---------------------------------------------------------------- tokens
+# Fixed values of the vocabulary file: which bytes stand for themselves, and (below) how text is split.
+PLAIN = [*range(33, 127), *range(161, 173), *range(174, 256)]
+BYTE_CHARS = {b: b for b in PLAIN} | {b: 256 + i for i, b in enumerate(sorted(set(range(256)) - set(PLAIN)))}
+#: Texts of ASCII and Latin-1 letters, whose lower-casing and splitting are plain.
+EASY = re.compile("[\t-\r -~À-ÿ]*")
+EASY_PIECE = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[!-/:-@\\[-`{-~×÷]+")
+
+
 class WordEncoder:
-    """Ids of whole texts from the ids of their white-space words.
+    """Ids of whole texts from the ids of their parts.
 
     The vocabulary's own splitting drops white space and never joins across it, so a text's ids are
-    those of its words in order; words repeat, so most come from a bounded cache.
+    those of its parts in order. Parts repeat, so most come from a bounded cache. Plain texts are split
+    into the vocabulary's pieces, which go straight to the library's BPE model; other texts are split
+    into white-space words, which go through the whole tokenizer unless they are plain.
     """
 
     def __init__(self, path: str):
@@ -133,38 +145,55 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         self.of = Tokenizer.from_file(path)
+        self.model = self.of.model
         self.clear()
 
     def clear(self) -> None:
-        self.index: dict[bytes, int] = {}
-        self.parts: list[np.ndarray] = []
+        self.index: dict[str | bytes, int] = {}
         self.start, self.length, self.flat = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint32)
 
-    def learn(self, words: list[bytes]) -> None:
-        if len(self.index) > CACHE_WORDS:
-            self.clear()
-        new = list(set(words).difference(self.index))
-        if not new:
-            return
-        rows = []
-        for i in range(0, len(new), 4096):
-            rows += [e.ids for e in self.of.encode_batch([w.decode() for w in new[i : i + 4096]], add_special_tokens=False)]
-        size = np.array([len(r) for r in rows], np.int64)
+    def parts(self, text: bytes | None) -> list[str | bytes]:
+        if not text:
+            return []
+        plain = text.decode()
+        return EASY_PIECE.findall(plain.lower()) if EASY.fullmatch(plain) and "<|" not in plain else text.split()
+
+    def piece(self, piece: str) -> list[int]:
+        return [t.id for t in self.model.tokenize(piece if piece.isascii() else piece.encode().decode("latin-1").translate(BYTE_CHARS))]
+
+    def ids(self, part: str | bytes) -> list[int]:
+        if isinstance(part, str):
+            return self.piece(part)
+        word = part.decode()
+        if EASY.fullmatch(word) and "<|" not in word:
+            return [i for p in EASY_PIECE.findall(word.lower()) for i in self.piece(p)]
+        return self.of.encode(word, add_special_tokens=False).ids
+
+    def learn(self, new: list[str | bytes]) -> None:
+        rows = list(map(self.ids, new))
+        size = np.fromiter(map(len, rows), np.int64, len(rows))
         self.start = np.concatenate((self.start, len(self.flat) + np.cumsum(size) - size))
         self.length = np.concatenate((self.length, size))
-        self.flat = np.concatenate((self.flat, np.fromiter((x for r in rows for x in r), np.uint32, int(size.sum()))))
+        self.flat = np.concatenate((self.flat, np.fromiter(chain.from_iterable(rows), np.uint32, int(size.sum()))))
         self.index.update(zip(new, range(len(self.index), len(self.index) + len(new)), strict=True))
 
     def encode(self, texts: list[bytes | None], end: int) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts, each followed by ``end``; count of each)."""
-        split = [(t or b"").split() for t in texts]
-        words = [w for ws in split for w in ws]
-        self.learn(words)
-        at = np.fromiter(map(self.index.__getitem__, words), np.int64, len(words))
+        split = list(map(self.parts, texts))
+        parts = list(chain.from_iterable(split))
+        if len(self.index) > CACHE_WORDS:
+            self.clear()
+        known = list(map(self.index.get, parts))
+        gaps = [i for i, x in enumerate(known) if x is None]
+        if gaps:
+            self.learn(list({parts[i] for i in gaps}))
+            for i in gaps:
+                known[i] = self.index[parts[i]]
+        at = np.array(known, np.int64)
         size = self.length[at]
-        per_doc = np.zeros(len(texts), np.int64)
-        np.add.at(per_doc, np.repeat(np.arange(len(texts)), [len(ws) for ws in split]), size)
-        ids = self.flat[np.repeat(self.start[at] - (np.cumsum(size) - size), size) + np.arange(int(size.sum()))]
+        upto = np.concatenate(([0], np.cumsum(size)))
+        per_doc = np.diff(upto[np.cumsum([0, *map(len, split)])])
+        ids = self.flat[np.repeat(self.start[at] - upto[:-1], size) + np.arange(int(upto[-1]))]
         return np.insert(ids, np.cumsum(per_doc), end), per_doc + 1
 
 
