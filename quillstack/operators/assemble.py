@@ -52,6 +52,7 @@ class Assembler:
 
     def __init__(self, parsed: Parsed, rules: Rules, overrides: Overrides | None = None, status: str = "draft"):
         self.parsed, self.rules, self.over, self.status = parsed, rules, overrides or Overrides(), status
+        self._maps: DataFrame | None = None
         last = Window.partitionBy("doc_id", "key")
         # Of units that share a key the last one counts, in the place of the first.
         units = parsed.units.withColumn("_last", F.max("idx").over(last)).withColumn("_place", F.min("idx").over(last)).where("idx = _last")
@@ -116,7 +117,9 @@ class Assembler:
         text = F.col("text") if raw else self.rendered()
         if not self.rules.references:
             return lines.withColumn("md", text)
-        return lines.join(self.target_maps(), "doc_id", "left").withColumn("md", self.linked(text, F.coalesce("_targets", empty_map()), F.col("name"))).drop("_targets")
+        if self._maps is None:
+            self._maps = held(self.target_maps())
+        return lines.join(self._maps, "doc_id", "left").withColumn("md", self.linked(text, F.coalesce("_targets", empty_map()), F.col("name"))).drop("_targets")
 
     # ---- parts
     def description(self, key: Column, lines: Column | None = None) -> Column:
@@ -137,7 +140,7 @@ class Assembler:
     def plain_units(self) -> DataFrame:
         used = [key_of(d["unit"]) for d in self.rules.definitions if d.get("unit") is not None] + [key_of(u) for g in self.over.groups for u in g["units"]]
         units = self.units.where(~F.col("key").isin(used)) if used else self.units
-        lines = self.with_links(self.texts).groupBy("doc_id", "idx").agg(F.array_sort(F.collect_list(F.struct("pos", "text", "md"))).alias("l"))
+        lines = held(self.with_links(self.texts)).groupBy("doc_id", "idx").agg(F.array_sort(F.collect_list(F.struct("pos", "text", "md"))).alias("l"))
         # Units that have units of their own: their key is a proper prefix of another one's.
         parts = F.split("key", "[.]")
         prefixes = self.units.select("doc_id", F.explode(F.when(F.size(parts) > 1, F.transform(F.sequence(F.lit(1), F.size(parts) - 1), lambda n: F.array_join(F.slice(parts, F.lit(1), n), ".")))).alias("key")).distinct().withColumn("_split", F.lit(True))
@@ -167,7 +170,7 @@ class Assembler:
         lines = self.texts.drop("name").join(head, ["doc_id", "idx"]).withColumn("name", F.lit(g["file"]))
         if g.get("include-front-matter"):
             lines = lines.unionByName(self.parsed.front.join(own.select("doc_id").distinct(), "doc_id", "left_semi").withColumns({"idx": F.lit(-1), "key": F.lit(""), "n": F.lit(-1), "head": F.lit(""), "name": F.lit(g["file"])}))
-        lines = self.with_links(lines)
+        lines = held(self.with_links(lines))
         order = Window.partitionBy("doc_id").orderBy(F.col("n") >= 0, "pos", "n")
         lines = lines.withColumn("_turn", F.sum((~F.col("n").eqNullSafe(F.lag("n").over(order))).cast("int")).over(order.rowsBetween(Window.unboundedPreceding, 0)))
         lines = lines.withColumn("_first", (F.row_number().over(Window.partitionBy("doc_id", "n").orderBy("pos")) == 1) & (F.col("head") != "") & (F.col("n") >= 0))
@@ -188,7 +191,7 @@ class Assembler:
         if rows is None:
             own = self.units.where(F.col("key") == key_of(d.get("unit")))
             lines = self.texts.join(own.select("doc_id", "idx"), ["doc_id", "idx"], "left_semi").withColumn("name", file)
-            lines = self.with_links(split_definitions(lines, d["term"], d.get("ends-at")), raw=True)
+            lines = held(self.with_links(held(split_definitions(lines, d["term"], d.get("ends-at"))), raw=True))
             docs = own.select("doc_id", self.position().alias("position"))
         else:
             lines = self.with_links(rows.where("text is not null").select("doc_id", "def_idx", "term", F.col("row").alias("pos"), "text", F.lit("def").alias("zone")).withColumn("name", file), raw=True)

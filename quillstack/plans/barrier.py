@@ -1,15 +1,28 @@
 """Plan barriers.
 
 Stacked windows make Spark's planner compare orderings over and over, at a cost that doubles with each
-level; a persisted table in between is a leaf to the planner, and is computed once for all that read it.
-Lost partitions are recomputed from their lineage.
+level, and nested caches make it print their plans over and over. A table written in between is a plain
+leaf to the planner, is computed once for all that read it, and outlives lost executors.
 """
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
+import tempfile
+import uuid
+
 from pyspark.sql import DataFrame
 
+_own: list[str] = []
+
 
 def held(df: DataFrame) -> DataFrame:
-    return df.persist(StorageLevel.MEMORY_AND_DISK)
+    """Write to the folder in ``spark.checkpoint.dir`` (a temporary one where it is unset) and read again."""
+    spark = df.sparkSession
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if not folder:
+        if not _own:
+            _own.append("file://" + tempfile.mkdtemp(prefix="quillstack-"))
+        folder = _own[0]
+    path = f"{folder.rstrip('/')}/quillstack/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

@@ -65,7 +65,7 @@ s as (
 PART = "'Part ' || cast(cast(substr(doc_id, 4) as int) + 1 as varchar) || ' – Rules of ' || substr(doc_id, 4) || ' title'"
 
 
-@query(STATE + f"select doc_id, cast(row_number() over (partition by doc_id order by pos) - 1 as int) as idx, key, {PART} as part, section, heading, page as first_page, 'article-' || lpad(key, greatest(2, length(key)), '0') as name from a")
+@query(STATE + f"select doc_id, cast(row_number() over (partition by doc_id order by pos) - 1 as int) as idx, key, {PART} as part, section, heading, page as first_page, 'article-' || lpad(key, cast(greatest(2, length(key)) as int), '0') as name from a")
 def unit_segments(spark, sf_dir):
     """Units with the headings in force, their pages and names."""
     p, rules = parsed(spark, sf_dir), Rules.of(RULES)
@@ -90,13 +90,13 @@ def heading_state(spark, sf_dir):
     return z.select("doc_id", "pos", F.col("heading.level").alias("level"), F.col("heading.value").alias("value"))
 
 
-@query(LINES + "select doc_id, count(*) as n_lines, sum(case when text like 'RULES OF %' then 1 else 0 end) as n_taken from lines group by doc_id")
+@query(LINES + "select doc_id, count(*) as n_lines, cast(sum(case when text like 'RULES OF %' then 1 else 0 end) as bigint) as n_taken from lines group by doc_id")
 def title_lookahead(spark, sf_dir):
     z = segments.zoned(synthetic(spark, sf_dir), Rules.of(RULES))
-    return z.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n_lines"), F.sum((F.col("zone") == "skipped").cast("int")).cast("decimal(38,0)").cast("long").alias("n_taken"))
+    return z.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n_lines"), F.sum((F.col("zone") == "skipped").cast("int")).alias("n_taken"))
 
 
-@query(STATE + """select doc_id, key, regexp_replace(regexp_replace(text, '^[0-9]+[.] ', ''), 'article ([0-9]+)', case when cast(key as int) // 2 + 1 = cast(key as int) then 'article \\1' else '[article \\1](ref:article-' || lpad(cast(cast(key as int) // 2 + 1 as varchar), greatest(2, length(cast(cast(key as int) // 2 + 1 as varchar))), '0') || ')' end) as md from a""")
+@query(STATE + """select doc_id, key, regexp_replace(regexp_replace(text, '^[0-9]+[.] ', ''), 'article ([0-9]+)', case when cast(key as int) // 2 + 1 = cast(key as int) then 'article \\1' else '[article \\1](ref:article-' || lpad(cast(cast(key as int) // 2 + 1 as varchar), cast(greatest(2, length(cast(cast(key as int) // 2 + 1 as varchar))) as int), '0') || ')' end) as md from a""")
 def cross_reference_links(spark, sf_dir):
     """First lines of units with their references as links."""
     a = Assembler(parsed(spark, sf_dir), Rules.of(RULES))
