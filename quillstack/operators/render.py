@@ -40,7 +40,7 @@ def source_entry(doc: dict) -> dict:
 
 
 def raw(name: str, value) -> Column:
-    return item(name, F.lit(yaml.safe_dump(value, allow_unicode=True, width=10_000)), "raw")
+    return item(name, F.lit(yaml.safe_dump(value, sort_keys=False, allow_unicode=True, width=10_000)), "raw")
 
 
 def frontmatter(doc: dict) -> Column:

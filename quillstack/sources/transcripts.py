@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -51,9 +53,8 @@ def read_tree(spark: SparkSession, path: str, recursive: bool = True, pattern: s
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", str(recursive).lower())
     if pattern:
         reader = reader.option("pathGlobFilter", pattern)
-    root = F.lit(path.rstrip("/") + "/")
-    bare = F.regexp_replace("path", "^[a-z]+:/*", "/")
-    rel = F.substring_index(bare, F.regexp_replace(root, "^[a-z]+:/*", "/"), -1)
+    root = re.sub("^[a-z]+:/*", "/", path.rstrip("/") + "/")
+    rel = F.substring_index(F.regexp_replace("path", "^[a-z]+:/*", "/"), root, -1)
     text = F.replace(F.decode("content", "utf-8"), F.lit("\r\n"), F.lit("\n"))
     return reader.load(path).select(rel.alias("path"), F.when(F.col("path").endswith(".md"), text).alias("text"), F.when(~F.col("path").endswith(".md"), F.col("content")).alias("bytes"))
 
