@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from . import oracles
 from .common import table
 from .decontamination import decontaminate
 from .language import identify
@@ -67,4 +68,4 @@ def queries():
 
 
 def oracle_sql():
-    return {}
+    return {"op1_substring_dedup": oracles.OP1, "op3_line_dedup": oracles.OP3, "op6_pareto_mix": oracles.OP6, "op9_decontamination": oracles.OP9, "op10_warc": oracles.OP10}
