@@ -109,7 +109,7 @@ def authored_sections(files: DataFrame) -> tuple[DataFrame, DataFrame]:
     return text.select("path", F.regexp_replace(body, "\n{3,}", "\n\n").alias("body")), warned
 
 
-def indexes(files: DataFrame, titles: dict[str, str], top_title: str = "Bundle", version: str = "0.2", description: str | None = None) -> DataFrame:
+def indexes(files: DataFrame, titles: dict[str, str], top_title: str = "Bundle", version: str = "0.2", version_field: str = "version", description: str | None = None) -> DataFrame:
     """(path, content) of one index a folder: subfolders, then concepts by (ord, path) under group headings.
 
     files(path, title, description, ord, levels array<string>): levels are the first two group fields that
@@ -140,7 +140,7 @@ def indexes(files: DataFrame, titles: dict[str, str], top_title: str = "Bundle",
     )
     # Headings put a blank line before them only where there is none.
     body = F.regexp_replace(F.array_join(lines, "\n"), "\n{3,}", "\n\n")
-    fields = F.when(F.col("dir") == "", kept(F.array(item("okf_version", F.lit(version), "str"), item("title", F.lit(top_title), "str"), item("description", F.lit(description), "str")))).otherwise(F.array().cast(FIELDS))
+    fields = F.when(F.col("dir") == "", kept(F.array(item(version_field, F.lit(version), "str"), item("title", F.lit(top_title), "str"), item("description", F.lit(description), "str")))).otherwise(F.array().cast(FIELDS))
     return out.withColumn("_f", fields).select(F.concat(F.when(F.col("dir") != "", F.concat("dir", F.lit("/"))).otherwise(F.lit("")), F.lit("index.md")).alias("path"), rendered(F.col("_f"), body).alias("content"))
 
 
