@@ -25,6 +25,7 @@ from __future__ import annotations
 import hashlib
 import io
 from functools import cached_property
+from itertools import compress
 
 import numpy as np
 import pyarrow as pa
@@ -36,7 +37,6 @@ from .common import keyed, raw, ship, width, written
 
 WINDOW, LOW, HIGH = 20, 4, (12, 16)
 PER_GROUP = 4 << 20  # bytes of input files for each group of documents
-CACHE_WORDS = 300_000
 DOCS, LOWS, HIGHS, WINDOWS = range(4)
 U = np.uint64
 
@@ -143,27 +143,9 @@ def window_names(x: np.ndarray, window: int) -> np.ndarray:
 
 
 # ---------------------------------------------------------------- groups
-class Words:
-    """128-bit names of words, from a bounded cache."""
-
-    def __init__(self):
-        self.clear()
-
-    def clear(self):
-        self.index: dict[bytes, int] = {}
-        self.names = np.zeros((0, 2), np.uint64)
-
-    def of(self, words: list[bytes]) -> np.ndarray:
-        if len(self.index) > CACHE_WORDS:
-            self.clear()
-        new = list(set(words).difference(self.index))
-        if new:
-            self.index.update(zip(new, range(len(self.index), len(self.index) + len(new)), strict=True))
-            self.names = np.concatenate((self.names, np.frombuffer(b"".join(map(xxhash.xxh3_128_digest, new)), "<u8").reshape(-1, 2)))
-        return self.names[np.fromiter(map(self.index.__getitem__, words), np.int64, len(words))]
-
-
-_words = Words()
+def word_names(words: list[bytes]) -> np.ndarray:
+    """128-bit names of words. Hashing each is cheaper than looking most of them up."""
+    return np.frombuffer(b"".join(map(xxhash.xxh3_128_digest, words)), "<u8").reshape(-1, 2)
 
 
 class Group:
@@ -179,7 +161,7 @@ class Group:
         for at in range(0, len(self.texts), 256):
             split = [(t or b"").split() for t in self.texts[at : at + 256]]
             counts += map(len, split)
-            names.append(_words.of([w for ws in split for w in ws]))
+            names.append(word_names([w for ws in split for w in ws]))
         self.counts = np.array(counts, np.int64)
         self.begin = np.cumsum(self.counts) - self.counts
         self.a, self.b = np.ascontiguousarray(np.concatenate(names).T)
@@ -407,16 +389,19 @@ def substring_dedup(docs: DataFrame, window: int = WINDOW, with_text: bool = Tru
         packs.clear()
         for kind in (LOWS, HIGHS, WINDOWS):
             learn(group, told, kind)
+        some = np.bincount(group.doc[group.removed], minlength=len(group.texts)) > 0
         for at in range(0, len(group.texts), 500):
             gone, sha, spans, kept = [], [], [], []
             for d in range(at, min(at + 500, len(group.texts))):
-                out = group.removed[group.begin[d] : group.begin[d] + group.counts[d]]
-                words = (group.texts[d] or b"").split()
-                text = b" ".join([w for w, x in zip(words, out.tolist(), strict=True) if not x] if out.any() else words)
-                edge = np.flatnonzero(np.diff(np.concatenate(([0], out.view(np.int8), [0])))).reshape(-1, 2)
-                gone.append(int(out.sum()))
+                words, out, edge = (group.texts[d] or b"").split(), None, ()
+                if some[d]:
+                    out = group.removed[group.begin[d] : group.begin[d] + group.counts[d]]
+                    words = list(compress(words, (~out).tolist()))
+                    edge = np.flatnonzero(np.diff(np.concatenate(([0], out.view(np.int8), [0])))).reshape(-1, 2).tolist()
+                text = b" ".join(words)
+                gone.append(int(group.counts[d]) - len(words))
                 sha.append(hashlib.sha256(text).hexdigest())
-                spans.append([{"start": s, "end": e} for s, e in edge.tolist()])
+                spans.append([{"start": s, "end": e} for s, e in edge])
                 kept.append(text)
             cols = {"doc_id": group.ids[at : at + 500], "rk": group.rks[at : at + 500], "n_words": pa.array(group.counts[at : at + 500]), "n_removed": pa.array(gone, pa.int64()), "kept_sha256": pa.array(sha, pa.string()), "removed": pa.array(spans, pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())])))}
             if with_text:
