@@ -53,11 +53,11 @@ def shared_dir(spark: SparkSession) -> str:
     return _own_dir[0]
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
+def written(df: DataFrame, name: str, codec: str = "snappy") -> DataFrame:
     """Write a table to the shared folder and read it again: cuts the lineage, survives executors."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/quillstack/{name}-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
+    df.write.option("compression", codec).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

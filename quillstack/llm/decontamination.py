@@ -18,8 +18,9 @@ from pyspark.sql import functions as F
 from .common import keyed, lower_ascii, same_row, written
 
 TERM = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+ANY_CASE = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"  # as many words as after lower-casing
 WINDOW, PER_HIT = 13, 20
-SMALL = 16 << 20
+SMALL, CHUNK = 16 << 20, 64
 
 
 def terms(text: Column) -> Column:
@@ -55,10 +56,16 @@ def occurrences(docs: DataFrame, benchmark: DataFrame, n: int = WINDOW) -> tuple
     anchors = written(ranked.join(every, "win").select("win", "terms", "length", "a", "a_at", F.col("o.term").alias("b"), F.col("o.at").alias("b_at")), "test-anchors")
 
     index = small(anchors.select(F.explode(F.array_compact(F.array("a", "b"))).alias("term")).distinct(), F.octet_length("term"))
-    words = rows.select("doc_id", "rk", terms(F.col("text")).alias("w"))
-    posted = words.select("doc_id", "rk", "w", F.posexplode("w").alias("at", "term")).join(index, "term")
-    first = F.greatest(F.col("at") - (n - 1), F.lit(0))
-    postings = written(posted.select("term", "doc_id", "rk", "at", first.alias("near_at"), F.slice("w", first + 1, 2 * n - 1).alias("near")), "postings")
+    # Texts go through in pieces of CHUNK words with n-1 neighbours on both sides: what each posting
+    # carries along is short however long its document is.
+    around = lambda i: F.greatest(i - (n - 1), F.lit(0))
+    piece = lambda i: F.struct(i.alias("from"), around(i).alias("near_at"), F.slice("w", around(i) + 1, CHUNK + 2 * (n - 1)).alias("near"))
+    words = rows.select("doc_id", "rk", terms(F.col("text")).alias("w")).where(F.size("w") > 0)
+    pieces = words.select("doc_id", "rk", F.explode(F.transform(F.sequence(F.lit(0), F.size("w") - 1, F.lit(CHUNK)), piece)).alias("p"))
+    centre = F.slice("p.near", F.col("p.from") - F.col("p.near_at") + 1, CHUNK)
+    posted = pieces.select("doc_id", "rk", "p", F.posexplode(centre).alias("k", "term")).join(index, "term").withColumn("at", F.col("p.from") + F.col("k"))
+    shift = around(F.col("at")) - F.col("p.near_at")
+    postings = written(posted.select("term", "doc_id", "rk", "at", around(F.col("at")).alias("near_at"), F.slice("p.near", shift + 1, 2 * n - 1).alias("near")), "postings")
 
     tests = small(anchors, F.octet_length("win") * 3)
     found = postings.join(tests, postings["term"] == tests["a"]).withColumn("start", F.col("at") - F.col("a_at")).where("start >= 0").select("doc_id", "rk", "start", "length", "win", "terms", "near_at", "near", "b", "b_at")
@@ -82,6 +89,6 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, n: int = WINDOW, per_hi
     hits = runs.select("doc_id", "rk", covered.alias("n_hit"))
     hits = hits.join(items.withColumnsRenamed({"doc_id": "d", "rk": "r"}), (F.col("rk") == F.col("r")) & F.col("doc_id").eqNullSafe(F.col("d"))).select("doc_id", "rk", "n_hit", F.size("items").cast("long").alias("n_items"), F.array_join("items", ",").alias("items"))
     hits = written(hits, "test-documents")
-    counted = rows.select("doc_id", "rk", F.coalesce(F.regexp_count(lower_ascii(F.col("text")), F.lit(TERM)), F.lit(0)).cast("long").alias("n_words"))
+    counted = rows.select("doc_id", "rk", F.coalesce(F.regexp_count("text", F.lit(ANY_CASE)), F.lit(0)).cast("long").alias("n_words"))
     joined = counted.join(hits, same_row(counted, hits), "left").select(counted["doc_id"], counted["rk"], "n_words", F.coalesce("n_hit", F.lit(0).cast("long")).alias("n_hit"), F.coalesce("n_items", F.lit(0).cast("long")).alias("n_items"), F.sha2(F.coalesce("items", F.lit("")), 256).alias("items_sha256"))
     return joined.withColumn("contaminated", (F.col("n_hit") > 0) & (F.col("n_hit") * per_hit >= F.col("n_words")))

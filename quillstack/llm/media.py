@@ -36,7 +36,7 @@ def store(docs: DataFrame) -> DataFrame:
                 media = encode([(padded(t), len(t or b"")) for t in texts[a:b]])
                 yield pa.RecordBatch.from_arrays([batch.column("doc_id")[a:b], batch.column("rk")[a:b], pa.array(media, pa.binary())], ["doc_id", "rk", "media"])
 
-    return written(rows.mapInArrow(run, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, rk long, media binary"), "media")
+    return written(rows.mapInArrow(run, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, rk long, media binary"), "media", codec="zstd")
 
 
 def read_payloads(media: DataFrame, with_tensor: bool = False) -> DataFrame:
