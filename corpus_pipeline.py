@@ -38,13 +38,14 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def simhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates stays: that of the smallest doc_id, one row of it."""
-    found = written(near_duplicates(docs, shingle=4, limit=4).select("doc_id", "rk", "component_id"), "duplicates")
-    first = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy("doc_id", "component_id").agg(F.min("rk").alias("rk"))
-    kept = written(first.select("doc_id", "rk"), "kept")
+    """One document of each group of near-duplicates stays: that of the smallest doc_id (null is the largest), one row of it."""
+    found = written(near_duplicates(docs, shingle=4, limit=4).select("doc_id", "rk", "root"), "duplicates")
+    rows = found.groupBy("root", "doc_id", "rk").agg(F.count(F.lit(1)).alias("n"))
+    first = rows.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "rk", "n")).alias("first"))
+    kept = written(first.select("first.doc_id", "first.rk", "first.n"), "kept")
     # Rows that agree in id and text are told apart by nothing but their other columns; one of them stays.
-    once = matched(docs, kept, "left_semi")
-    again = written(found.join(kept, ["doc_id", "rk"]).groupBy("doc_id", "rk").count().where("count > 1").select("doc_id", "rk"), "again")
+    once = matched(docs, kept.select("doc_id", "rk"), "left_semi")
+    again = kept.where("n > 1").select("doc_id", "rk")
     if again.isEmpty():
         return once
     return matched(once, again, "left_anti").unionByName(matched(once, again, "left_semi").dropDuplicates(["doc_id", "text"]))

@@ -254,11 +254,11 @@ def links(unique: DataFrame, limit: int = LIMIT) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, limit: int = LIMIT) -> DataFrame:
-    """(doc_id, rk, fp, fingerprint, component_id)"""
+    """(doc_id, rk, fp, fingerprint, component_id, root); root is a fingerprint of the component, its own even where all ids are null."""
     prints = written(fingerprints(docs, shingle), "simhash")
     unique = written(prints.groupBy("fp").agg(F.min("doc_id").alias("first")), "simhash-unique")
     roots = components(links(unique, limit))
     named = written(unique.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select("fp", "first", F.coalesce("root", "fp").alias("root")), "simhash-roots")
     lowest = written(named.groupBy("root").agg(F.min("first").alias("component_id")), "simhash-lowest")
-    by_fp = written(named.join(lowest, "root").select("fp", "component_id"), "simhash-components")
-    return prints.join(by_fp, "fp").select("doc_id", "rk", "fp", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+    by_fp = written(named.join(lowest, "root").select("fp", "component_id", "root"), "simhash-components")
+    return prints.join(by_fp, "fp").select("doc_id", "rk", "fp", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id", "root")

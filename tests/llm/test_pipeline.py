@@ -33,3 +33,15 @@ def test_stages_keep_and_drop(spark, folder):
     assert sorted(r.doc_id for r in tokens) == kept[3]
     starts = sorted((r.start, r.n_tokens) for r in tokens)
     assert all(a + n == b for (a, n), (b, _) in zip(starts, starts[1:], strict=False))
+
+
+def test_simhash_keeps_distinct_texts_of_null_and_shared_ids(spark):
+    import corpus_pipeline
+
+    text = lambda i: " ".join(f"v{(i * 53 + k * k * k) % 1499}y" for k in range(80))
+    rows = [(None, text(i)) for i in range(12)] + [(7, text(100 + i)) for i in range(12)] + [(i, text(200 + i)) for i in range(12)]
+    repeats = [(None, text(0)), (None, text(1)), (7, text(100)), (None, text(101)), (None, text(203)), (50, text(204)), (50, text(2))]
+    docs = spark.createDataFrame([(*r, "en", "s0", n) for n, r in enumerate(rows + repeats)], "doc_id long, text string, lang string, source string, n_chars long").repartition(3)
+    kept = [(r.doc_id, r.text) for r in corpus_pipeline.simhash_dedup(spark, docs, "").collect()]
+    expected = [r for r in rows if r != (None, text(2))] + [(50, text(2))]
+    assert len(kept) == len(expected) == 36 and set(kept) == set(expected)
