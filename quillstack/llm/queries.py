@@ -47,7 +47,7 @@ def op6_pareto_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return find_secrets(table(spark, sf_dir, "documents")).drop("rk")
+    return find_secrets(table(spark, sf_dir, "documents")).drop("rk", "n_repos")
 
 
 def op8_progressive_jpeg(spark: SparkSession, sf_dir: str) -> DataFrame:

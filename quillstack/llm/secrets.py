@@ -2,11 +2,11 @@
 
 Candidates are found by fixed patterns with their positions. Every candidate's hash is aggregated over
 the corpus: in how many repositories (documents) and under how many owners (sources) does it occur? One
-that many owners hold is a copied example; one that a single owner holds looks live. Beside the base
-kinds, any long mixed token that a single owner holds is added as a span of kind ``owned``, unless it
+that many owners hold, or that is in many repositories whatever the number of owners, is a copied example;
+any other that a single owner holds looks live. Beside the base kinds, any long mixed live token is added as a span of kind ``owned``, unless it
 overlaps a base span.
 
-Null text is empty; null source is an owner of its own. Repeated rows count as repositories each.
+Null text is empty; null source is an owner of its own. Rows that repeat id, text and source are one repository.
 """
 
 from __future__ import annotations
@@ -22,7 +22,7 @@ ACCESS = r"AKIA[A-Z0-9]{14,}"
 HEX = r"[0-9a-f]{16,}"
 TOKEN = r"[A-Za-z0-9+/_=-]{20,}"
 KINDS = ("assign", "access", "hex", "owned")
-ASSIGN_MIN, EXAMPLE_OWNERS = 12, 3
+ASSIGN_MIN, EXAMPLE_OWNERS, EXAMPLE_REPOS = 12, 3, 20
 SPAN = "array<struct<start:bigint,kind:int,end:bigint,hash:binary>>"
 
 
@@ -62,18 +62,19 @@ def scan(docs: DataFrame) -> DataFrame:
 
 def ownership(candidates: DataFrame) -> DataFrame:
     """(hash, n_repos, n_owners) over candidates(doc_id, rk, source, hash), one row a document and hash."""
-    per_owner = candidates.groupBy("hash", "source").agg(F.count(F.lit(1)).alias("repos"))
+    per_owner = candidates.select("hash", "source", "doc_id", "rk").distinct().groupBy("hash", "source").agg(F.count(F.lit(1)).alias("repos"))
     return per_owner.groupBy("hash").agg(F.sum("repos").alias("n_repos"), F.count(F.lit(1)).alias("n_owners"))
 
 
-def find_secrets(docs: DataFrame, example_owners: int = EXAMPLE_OWNERS) -> DataFrame:
-    """(doc_id, rk, n_assign, n_access, n_hex, base_sha256, spans, n_live, n_example)"""
+def find_secrets(docs: DataFrame, example_owners: int = EXAMPLE_OWNERS, example_repos: int = EXAMPLE_REPOS) -> DataFrame:
+    """(doc_id, rk, n_assign, n_access, n_hex, base_sha256, spans, n_live, n_example, n_repos); n_repos: of the row's candidate in most repositories."""
     found = written(scan(docs), "secrets")
     hashes = F.array_distinct(F.transform(F.concat("base", "more"), lambda x: x["hash"]))
     each = written(found.where(F.size("base") + F.size("more") > 0).select("doc_id", "rk", "source", F.explode(hashes).alias("hash")), "secret-hashes")
     known = written(ownership(each), "secret-owners")
+    copied = (F.col("n_owners") >= example_owners) | (F.col("n_repos") >= example_repos)
     verdict = each.select("doc_id", "rk", "hash").join(known, "hash").groupBy("doc_id", "rk").agg(
-        F.collect_set(F.when(F.col("n_owners") == 1, F.col("hash"))).alias("live"), F.count_distinct(F.when(F.col("n_owners") >= example_owners, F.col("hash"))).alias("n_example")
+        F.collect_set(F.when((F.col("n_owners") == 1) & ~copied, F.col("hash"))).alias("live"), F.count_distinct(F.when(copied, F.col("hash"))).alias("n_example"), F.max("n_repos").alias("n_repos")
     )
     verdict = written(verdict, "secret-verdicts").withColumnsRenamed({"doc_id": "_doc", "rk": "_rk"})
     out = found.join(verdict, (found["rk"] == verdict["_rk"]) & found["doc_id"].eqNullSafe(verdict["_doc"]), "left")
@@ -82,5 +83,5 @@ def find_secrets(docs: DataFrame, example_owners: int = EXAMPLE_OWNERS) -> DataF
     return out.select(
         "doc_id", "rk", count(0).alias("n_assign"), count(1).alias("n_access"), count(2).alias("n_hex"),
         F.sha2(said(F.col("base")), 256).alias("base_sha256"), said(F.array_sort(F.concat("base", owned))).alias("spans"),
-        F.coalesce(F.size("live"), F.lit(0)).cast("long").alias("n_live"), F.coalesce("n_example", F.lit(0)).cast("long").alias("n_example"),
+        F.coalesce(F.size("live"), F.lit(0)).cast("long").alias("n_live"), F.coalesce("n_example", F.lit(0)).cast("long").alias("n_example"), F.coalesce("n_repos", F.lit(0)).cast("long").alias("n_repos"),
     )

@@ -237,6 +237,15 @@ def test_secrets(docs, none, spark):
     assert find_secrets(none).count() == 0
 
 
+def test_secrets_in_many_documents_of_one_source_are_copied(spark):
+    from quillstack.llm.secrets import find_secrets
+
+    copied, few, repeated = "Qw7" * 9, "Er8" * 9, "Ty9" * 9
+    rows = [(i, f"{i} {copied} " + few * (i < 19), "en", "s0", "", 0) for i in range(20)] + [(50, repeated, "en", "s0", "", 0)] * 25
+    got = {(r.doc_id, r.n_live, r.n_example, r.n_repos, r.spans.count("owned")) for r in find_secrets(frame(spark, rows)).collect()}
+    assert got == {(i, int(i < 19), 1, 20, int(i < 19)) for i in range(20)} | {(50, 1, 0, 1, 1)}
+
+
 def test_jpeg_round_trip_and_features(docs, none):
     from quillstack.llm.media import padded, read_payloads, store
 
