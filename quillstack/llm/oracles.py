@@ -26,20 +26,27 @@ from k left join hot on k.key = hot.key group by k.doc_id
 """
 
 OP6 = rf"""
-with d as (select doc_id, source, cast(len({WORDS}) as bigint) as size, (cast('0x' || substr(md5(coalesce(cast(doc_id as varchar), '') || '/0'), 1, 12) as bigint) + 0.5::double) / 281474976710656::double as u from documents),
+with r as (select doc_id, source, cast(len({WORDS}) as bigint) as size, (cast('0x' || substr(md5(coalesce(cast(doc_id as varchar), '') || '/0/' || md5(coalesce(text, ''))), 1, 12) as bigint) + 0.5::double) / 281474976710656::double as u from documents),
+d as (select *, cast(64 * len(bin(size)) as bigint) as x from r),
 s as (select source, cast(sum(size) as bigint) as source_size, row_number() over (order by source nulls last) as r from d group by source),
 w as (select *, case (r - 1) % 3 when 0 then 5 when 1 then 2 else 1 end as w, source_size * 2 as cap from s),
 v as (select *, (sum(source_size) over () * 1.5::double - coalesce(sum(cap) over up, 0)) / (sum(w) over () - coalesce(sum(w) over up, 0)) as level from w window up as (order by cap / w::double, source nulls last rows between unbounded preceding and 1 preceding)),
 t as (select source, source_size, case when cap / w::double > level then w * max(case when cap / w::double > level then level end) over () else cap::double end as target from v),
-e as (select d.*, source_size, target, case when source_size > 0 then target / source_size else 0 end as ratio from d join t on d.source is not distinct from t.source),
-f as (select *, cast(least(floor(ratio), 2) as bigint) as whole, ratio - cast(least(floor(ratio), 2) as bigint) as f from e),
-p as (select *, least(greatest(f, 1e-12), 1 - 1e-12) as p, target - whole * source_size as need from f),
+k as (select source, x, cast(sum(size) as bigint) as s from d group by source, x),
+l as (select k.*, source_size, target, (target - cast(coalesce(sum(s) over (partition by k.source order by x desc rows between unbounded preceding and 1 preceding), 0) as bigint) * 2) / cast(sum(x * s) over (partition by k.source order by x desc rows between current row and unbounded following) as bigint) as level
+      from k join t on k.source is not distinct from t.source),
+m as (select *, coalesce(level * x < 2, false) as free from l),
+n as (select *, max_by(level, x) filter (where free) over (partition by source) as top from m),
+c as (select *, case when target <= 0 then 0::double when free then top * x else 2::double end as copies from n),
+h as (select *, cast(floor(copies) as bigint) as whole, copies - floor(copies) as f from c),
+e as (select *, target - cast(sum(whole * s) over (partition by source) as bigint) as need from h),
+p as (select d.doc_id, d.source, size, u, source_size, target, whole, f, need, least(greatest(f, 1e-12::double), 1 - 1e-12::double) as p from d join e on d.source is not distinct from e.source and d.x = e.x),
 q as (select *, (u / (1 - u)) / (p / (1 - p)) as q from p),
-z as (select *, q / (1 + q) as z from q),
-c as (select *, cast(sum(size) over (partition by source order by z) as bigint) as upto, cast(sum(size) over (partition by source, z) as bigint) as tie from z),
-b as (select *, min(case when upto >= need then z end) over (partition by source) as cut from c),
-x as (select *, z < cut or cut is null or (z = cut and abs(upto - need) <= abs(upto - tie - need)) as in_sample from b)
-select doc_id, size, source_size, target, (whole + case when f > 0 and whole < 2 and in_sample then 1 else 0 end) * size as taken from x
+z as (select *, q / (1 + q) as z, case when f > 0 then size else 0 end as own from q),
+a as (select *, cast(sum(own) over (partition by source order by z) as bigint) as upto, cast(sum(own) over (partition by source, z) as bigint) as tie from z),
+b as (select *, min(case when f > 0 and upto >= need then z end) over (partition by source) as cut from a),
+y as (select *, z < cut or cut is null or (z = cut and abs(upto - need) <= abs(upto - tie - need)) as in_sample from b)
+select doc_id, size, source_size, target, (whole + case when f > 0 and in_sample then 1 else 0 end) * size as taken from y
 """
 
 OP9 = f"""
