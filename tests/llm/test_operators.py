@@ -96,6 +96,22 @@ def test_line_dedup(docs, none):
     assert line_dedup(none).count() == 0
 
 
+def test_line_filters_do_not_fill_up(docs):
+    from quillstack.llm.line_dedup import repeated_lines, suspected
+
+    r = np.random.default_rng(3)
+    once, shared = r.integers(0, 2**64, (50, 4000), dtype=np.uint64), r.integers(0, 2**64, 500, dtype=np.uint64)
+    packs = [np.unique(np.concatenate((x, shared[i % 2 :: 2]))) for i, x in enumerate(once)]
+    again = [np.zeros(len(p), bool) for p in packs]
+    again[0][7] = True
+    got = suspected(packs, again)
+    assert all(g[np.isin(p, shared)].all() for p, g in zip(packs, got, strict=True)) and got[0][7]
+    assert sum(g[~np.isin(p, shared)].sum() for p, g in zip(packs, got, strict=True)) < 0.01 * once.size
+    # More lines make more buckets, not fuller ones: the result does not depend on their number.
+    lists = [sorted((str(x.doc_id), x.rk, sorted(x.lines)) for x in repeated_lines(docs, per_bucket=n).collect()) for n in (7, 100, 10**6)]
+    assert lists[0] == lists[1] == lists[2] and lists[0]
+
+
 def test_simhash(docs, none):
     from quillstack.llm.simhash import near_duplicates
 
