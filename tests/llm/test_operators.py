@@ -373,9 +373,34 @@ def test_warc(spark):
         low = min(p for p, _, h in rows if h == html and p is not None) if page is None or html else page
         again = len(data) >= 100 and page != low
         want[page, len(data), hashlib.sha256(data).hexdigest(), "revisit" if again else "response", low if again else None] += 1
-    got = read_archive(files).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to").collect()
+    whole = read_archive(files).collect()
+    assert len({r.record_id for r in whole}) == len(rows)
+    assert Counter((r.page_id, r.url) for r in whole) == Counter(r[:2] for r in rows)
+    assert all(r.payload == next((h or "").encode() for p, u, h in rows if (p, u) == (r.page_id, r.url)) for r in whole if r.record_type == "response")
+    got = read_archive(files, with_payload=False).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to").collect()
     assert Counter(map(tuple, got)) == want
     assert [r.page_id for r in lookup(files, "https://h3.net/p/10").collect()] == [110]
     assert [r.page_id for r in lookup(files, "http://a.b.org/x").collect()] == [1, 1]
     assert lookup(files, "http://nowhere").count() == 0
     assert read_archive(write_archive(spark.createDataFrame([], "page_id long, url string, html string"))).count() == 0
+
+
+def test_warc_records_and_many_copies(spark):
+    import gzip
+
+    from quillstack.llm.warc import read_archive, write_archive
+
+    # Incompressible pages, so that there are many chunks and files; one row 2,500 times; one page of 3 MB.
+    r = np.random.default_rng(2)
+    rows = [(i, f"http://x{i % 5}.org/{i}", r.bytes(30_000).hex()) for i in range(400)] + [(7000, "http://x1.org/copy", "copied")] * 2500 + [(None, None, r.bytes(1_500_000).hex())]
+    files = write_archive(spark.createDataFrame(rows, "page_id long, url string, html string"), date="2020-02-02T00:00:00Z").cache()
+    got = read_archive(files, with_payload=False).collect()
+    assert Counter((x.page_id, x.url, x.payload_bytes) for x in got) == Counter((p, u, len(h)) for p, u, h in rows) and len({x.record_id for x in got}) == len(rows)
+    names = Counter(f.file for f in files.where("kind = 'warc'").collect())
+    assert len(names) > 1 and max(names.values()) > 10
+    for name in list(names)[:2]:  # the chunks of a file are one file of gzip members, the directory lists them
+        chunks = files.where((files["file"] == name) & (files["kind"] == "warc")).orderBy("at").collect()
+        whole = gzip.decompress(b"".join(c.content for c in chunks))
+        assert whole.startswith(b"WARC/1.1\r\n") and b"WARC-Date: 2020-02-02T00:00:00Z\r\n" in whole
+        listed = files.where((files["file"] == name) & (files["kind"] == "directory")).collect()[0].content.decode().split("\n")
+        assert [tuple(map(int, x.split(" ")[1:])) for x in listed] == [(c.at, len(c.content), len(c.block)) for c in chunks]
