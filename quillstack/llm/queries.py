@@ -68,4 +68,4 @@ def queries():
 
 
 def oracle_sql():
-    return {"op1_substring_dedup": oracles.OP1, "op3_line_dedup": oracles.OP3, "op6_pareto_mix": oracles.OP6, "op9_decontamination": oracles.OP9, "op10_warc": oracles.OP10}
+    return {"op1_substring_dedup": oracles.OP1, "op3_line_dedup": oracles.OP3, "op6_pareto_mix": oracles.OP6, "op7_secrets": oracles.OP7, "op9_decontamination": oracles.OP9, "op10_warc": oracles.OP10}

@@ -26,21 +26,40 @@ ASSIGN_MIN, EXAMPLE_OWNERS, EXAMPLE_REPOS = 12, 3, 20
 SPAN = "array<struct<start:bigint,kind:int,end:bigint,hash:binary>>"
 
 
-def spans(text: Column, pattern: str, kind: int, group: int, keep) -> Column:
-    """Spans of the pattern's matches. Matches and the pieces between them give the positions, in code points."""
+def running(a: Column) -> Column:
+    """Sums of an array up to each element, in blocks of about the root of its size: appending to one long array would copy it each time."""
+    zero = F.lit(0).cast("long")
+    step = F.greatest(F.ceil(F.sqrt(F.size(a))).cast("int"), F.lit(1))
+    none = F.struct(zero.alias("sum"), F.array().cast("array<bigint>").alias("out"))
+
+    def sums(xs: Column, with_own: bool) -> Column:
+        def add(s: Column, x: Column) -> Column:
+            total = s["sum"] + x
+            return F.struct(total.alias("sum"), F.concat(s["out"], F.array(total if with_own else s["sum"])).alias("out"))
+
+        return F.aggregate(xs, none, add)["out"]
+
+    blocks = F.transform(F.sequence(F.lit(1), F.size(a), step), lambda s: sums(F.slice(a, s, step), True))
+    joined = F.transform(F.array(blocks), lambda bs: F.zip_with(bs, sums(F.transform(bs, lambda x: F.element_at(x, -1)), False), lambda x, before: F.transform(x, lambda v: v + before)))
+    return F.when(F.size(a) == 0, F.array().cast("array<bigint>")).otherwise(F.flatten(joined[0]))
+
+
+def matches(text: Column, pattern: str, group: int, keep) -> Column:
+    """Matches in order: (gap, size) with the code points before it since the last one and its own, (keep, hash) of its value."""
     p = F.lit(pattern)
-    match, value = F.regexp_extract_all(text, p, F.lit(0)), F.regexp_extract_all(text, p, F.lit(group))
-    parts = F.arrays_zip(F.split(text, pattern, -1).alias("gap"), match.alias("match"), value.alias("value"))
-    none = F.struct(F.lit(0).cast("long").alias("at"), F.array().cast(SPAN).alias("out"))
+    match = F.regexp_extract_all(text, p, F.lit(0))
+    parts = F.arrays_zip(match.alias("match"), F.regexp_extract_all(text, p, F.lit(group)).alias("value"), F.split(text, pattern, -1).alias("gap"))
+    long = lambda c: F.length(c).cast("long")
+    made = F.transform(F.slice(parts, F.lit(1), F.size(parts) - 1), lambda x: F.struct(long(x["gap"]).alias("gap"), long(x["match"]).alias("size"), keep(x["value"]).alias("keep"), F.when(keep(x["value"]), F.unhex(F.sha2(x["value"], 256))).alias("hash")))
+    return F.when(text.rlike(pattern), made).otherwise(F.array().cast("array<struct<gap:bigint,size:bigint,keep:boolean,hash:binary>>"))
 
-    def step(s: Column, x: Column) -> Column:
-        start = s["at"] + F.length(x["gap"])
-        end = start + F.length(x["match"])
-        own = F.struct(start.alias("start"), F.lit(kind).alias("kind"), end.alias("end"), F.unhex(F.sha2(x["value"], 256)).alias("hash"))
-        return F.struct(end.cast("long").alias("at"), F.when(keep(x["value"]), F.concat(s["out"], F.array(own))).otherwise(s["out"]).cast(SPAN).alias("out"))
 
-    found = F.aggregate(F.filter(parts, lambda x: x["match"].isNotNull()), none, step)["out"]
-    return F.when(text.rlike(pattern), found).otherwise(F.array().cast(SPAN))
+def placed(df: DataFrame, name: str, kind: int) -> DataFrame:
+    """The column of matches as spans."""
+    df = df.withColumn("_ends", running(F.transform(name, lambda x: x["gap"] + x["size"])))
+    both = F.filter(F.arrays_zip(F.col(name).alias("m"), F.col("_ends").alias("end")), lambda x: x["m"]["keep"])
+    made = F.transform(both, lambda x: F.struct((x["end"] - x["m"]["size"]).alias("start"), F.lit(kind).alias("kind"), x["end"].alias("end"), x["m"]["hash"].alias("hash")))
+    return df.withColumn(name, made.cast(SPAN)).drop("_ends")
 
 
 def said(spans: Column) -> Column:
@@ -48,16 +67,36 @@ def said(spans: Column) -> Column:
     return F.array_join(F.transform(spans, lambda x: F.concat_ws(":", F.element_at(names, x["kind"] + 1), x["start"].cast("string"), x["end"].cast("string"))), ",")
 
 
+def apart(df: DataFrame) -> DataFrame:
+    """``more`` without spans that overlap a base span.
+
+    A span overlaps as many base spans as begin before its end less those that end at its start or before.
+    Both are counted in one sorted list of places: its own ends (0) and starts (3), starts (1) and ends (2) of base spans.
+    """
+    event = lambda at, what: F.struct(at.alias("at"), F.lit(what).alias("what"))
+    every = F.concat(F.transform("base", lambda x: event(x["start"], 1)), F.transform("base", lambda x: event(x["end"], 2)), F.transform("more", lambda x: event(x["end"], 0)), F.transform("more", lambda x: event(x["start"], 3)))
+    both = (F.size("base") > 0) & (F.size("more") > 0)
+    df = df.withColumn("_e", F.when(both, F.array_sort(every)))
+    flags = lambda what: running(F.transform("_e", lambda x: (x["what"] == what).cast("long")))
+    df = df.withColumn("_begun", F.when(both, flags(1))).withColumn("_done", F.when(both, flags(2)))
+    at = lambda name, what: F.transform(F.filter(F.arrays_zip(F.col("_e").alias("e"), F.col(name).alias("n")), lambda x: x["e"]["what"] == what), lambda x: x["n"])
+    free = F.filter(F.arrays_zip(F.col("more").alias("m"), at("_begun", 0).alias("begun"), at("_done", 3).alias("done")), lambda x: x["begun"] == x["done"])
+    return df.withColumn("more", F.when(both, F.transform(free, lambda x: x["m"])).otherwise(F.col("more"))).drop("_e", "_begun", "_done")
+
+
 def scan(docs: DataFrame) -> DataFrame:
     """(doc_id, rk, source, base, more): candidate spans of every text, in order."""
-    t = F.coalesce(F.col("text"), F.lit(""))
-    rows = docs.select("doc_id", F.xxhash64("doc_id", "text").alias("rk"), "source", t.alias("text"))
+    rows = docs.select("doc_id", F.xxhash64("doc_id", "text").alias("rk"), "source", F.coalesce("text", F.lit("")).alias("text"))
     text = F.col("text")
     always = lambda v: F.lit(True)
-    base = F.array_sort(F.concat(spans(text, ASSIGN, 0, 2, lambda v: F.length(v) >= ASSIGN_MIN), spans(text, ACCESS, 1, 0, always), spans(text, HEX, 2, 0, always)))
     mixed = lambda v: v.rlike("[0-9]") & v.rlike("[a-z]") & v.rlike("[A-Z]")
-    found = rows.select("doc_id", "rk", "source", base.alias("base"), spans(text, TOKEN, 3, 0, mixed).alias("more"))
-    return found.withColumn("more", F.filter("more", lambda x: ~F.exists("base", lambda y: (y["start"] < x["end"]) & (x["start"] < y["end"]))))
+    found = rows.select(
+        "doc_id", "rk", "source", matches(text, ASSIGN, 2, lambda v: F.length(v) >= ASSIGN_MIN).alias("assign"),
+        matches(text, ACCESS, 0, always).alias("access"), matches(text, HEX, 0, always).alias("hex"), matches(text, TOKEN, 0, mixed).alias("more"),
+    )
+    for kind, name in enumerate(("assign", "access", "hex", "more")):
+        found = placed(found, name, kind)
+    return apart(found.select("doc_id", "rk", "source", F.array_sort(F.concat("assign", "access", "hex")).alias("base"), "more"))
 
 
 def ownership(candidates: DataFrame) -> DataFrame:
@@ -69,19 +108,19 @@ def ownership(candidates: DataFrame) -> DataFrame:
 def find_secrets(docs: DataFrame, example_owners: int = EXAMPLE_OWNERS, example_repos: int = EXAMPLE_REPOS) -> DataFrame:
     """(doc_id, rk, n_assign, n_access, n_hex, base_sha256, spans, n_live, n_example, n_repos); n_repos: of the row's candidate in most repositories."""
     found = written(scan(docs), "secrets")
-    hashes = F.array_distinct(F.transform(F.concat("base", "more"), lambda x: x["hash"]))
-    each = written(found.where(F.size("base") + F.size("more") > 0).select("doc_id", "rk", "source", F.explode(hashes).alias("hash")), "secret-hashes")
-    known = written(ownership(each), "secret-owners")
+    places = found.select("doc_id", "rk", "source", F.explode(F.concat("base", "more")).alias("s")).select("doc_id", "rk", "source", "s.*").distinct()
+    each = written(places, "secret-places")
+    known = written(ownership(each.select("doc_id", "rk", "source", "hash").distinct()), "secret-owners")
     copied = (F.col("n_owners") >= example_owners) | (F.col("n_repos") >= example_repos)
-    verdict = each.select("doc_id", "rk", "hash").join(known, "hash").groupBy("doc_id", "rk").agg(
-        F.collect_set(F.when((F.col("n_owners") == 1) & ~copied, F.col("hash"))).alias("live"), F.count_distinct(F.when(copied, F.col("hash"))).alias("n_example"), F.max("n_repos").alias("n_repos")
-    )
+    live = (F.col("n_owners") == 1) & ~copied
+    verdict = each.join(known, "hash").groupBy("doc_id", "rk").agg(
+        F.count_distinct(F.when(live, F.col("hash"))).alias("n_live"), F.count_distinct(F.when(copied, F.col("hash"))).alias("n_example"), F.max("n_repos").alias("n_repos"),
+        F.collect_set(F.when(live & (F.col("kind") == KINDS.index("owned")), F.struct("start", "kind", "end"))).alias("owned"),
+    )
     verdict = written(verdict, "secret-verdicts").withColumnsRenamed({"doc_id": "_doc", "rk": "_rk"})
     out = found.join(verdict, (found["rk"] == verdict["_rk"]) & found["doc_id"].eqNullSafe(verdict["_doc"]), "left")
-    owned = F.filter("more", lambda x: F.coalesce(F.array_contains("live", x["hash"]), F.lit(False)))
     count = lambda k: F.size(F.filter("base", lambda x: x["kind"] == k)).cast("long")
-    return out.select(
-        "doc_id", "rk", count(0).alias("n_assign"), count(1).alias("n_access"), count(2).alias("n_hex"),
-        F.sha2(said(F.col("base")), 256).alias("base_sha256"), said(F.array_sort(F.concat("base", owned))).alias("spans"),
-        F.coalesce(F.size("live"), F.lit(0)).cast("long").alias("n_live"), F.coalesce("n_example", F.lit(0)).cast("long").alias("n_example"), F.coalesce("n_repos", F.lit(0)).cast("long").alias("n_repos"),
-    )
+    number = lambda name: F.coalesce(name, F.lit(0)).cast("long").alias(name)
+    base = F.transform("base", lambda x: F.struct(x["start"].alias("start"), x["kind"].alias("kind"), x["end"].alias("end")))
+    every = F.when(F.size("owned") > 0, F.array_sort(F.concat(base, "owned"))).otherwise(base)
+    return out.select("doc_id", "rk", count(0).alias("n_assign"), count(1).alias("n_access"), count(2).alias("n_hex"), F.sha2(said(base), 256).alias("base_sha256"), said(every).alias("spans"), number("n_live"), number("n_example"), number("n_repos"))

@@ -281,6 +281,51 @@ def test_secrets(docs, none, spark):
     assert find_secrets(none).count() == 0
 
 
+def brute_secrets(rows):
+    """{(doc_id, text): (base spans, all spans, n_live, n_example)}"""
+    assign = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
+    token, found, repos = re.compile("[A-Za-z0-9+/_=-]{20,}"), {}, {}
+    for i, text, source in {(r[0], r[1], r[3]) for r in rows}:
+        t = text or ""
+        base = [(m.start(), 0, m.end(), m[2]) for m in assign.finditer(t) if len(m[2]) >= 12] + [(m.start(), 1, m.end(), m[0]) for m in re.finditer("AKIA[A-Z0-9]{14,}", t)] + [(m.start(), 2, m.end(), m[0]) for m in re.finditer("[0-9a-f]{16,}", t)]
+        more = [(m.start(), 3, m.end(), m[0]) for m in token.finditer(t) if all(re.search(c, m[0]) for c in ("[0-9]", "[a-z]", "[A-Z]"))]
+        more = [x for x in more if not any(y[0] < x[2] and x[0] < y[2] for y in base)]
+        found[i, text] = base, more
+        for x in base + more:
+            repos.setdefault(x[3], set()).add((i, text, source))
+    owners = {v: len({s for _, _, s in rs}) for v, rs in repos.items()}
+    copied = {v for v in repos if owners[v] >= 3 or len(repos[v]) >= 20}
+    live = {v for v in repos if owners[v] == 1} - copied
+    say = lambda xs: ",".join(f"{('assign', 'access', 'hex', 'owned')[k]}:{a}:{b}" for a, k, b, _ in sorted(xs))
+    return {key: (say(base), say(base + [x for x in more if x[3] in live]), len({x[3] for x in base + more} & live), len({x[3] for x in base + more} & copied)) for key, (base, more) in found.items()}
+
+
+def test_secrets_equal_brute_force(spark):
+    from quillstack.llm.secrets import find_secrets
+
+    import random
+
+    r = random.Random(4)
+    parts = ["deadbeef" * 2, AKIA, "Zz9" * 8, "Qx7-" * 6, "secret: ", "token=", "é🙂", "word", "password = 'abcdefgh1234'", "0123456789abcdef0", "Aa1" * 7 + "deadbeefdeadbeef", ".", "\n", "ToKeN"]
+    rows = [*ROWS] + [(5000 + i, "".join(r.choice(parts) + r.choice(("", " ", " ")) + str(r.choice(("", i, 7))) for _ in range(r.randint(1, 60))), "en", f"s{r.randint(0, 5)}", "", 0) for i in range(150)]
+    want = brute_secrets(rows)
+    got = find_secrets(frame(spark, rows)).collect()
+    by_id = Counter((x.doc_id, x.base_sha256, x.spans, x.n_live, x.n_example) for x in got)
+    assert by_id == Counter((r[0], hashlib.sha256(w[0].encode()).hexdigest(), *w[1:]) for r in rows for w in [want[r[0], r[1]]])
+    assert sum(x.spans.count("owned") for x in got) > 50
+
+
+def test_secrets_of_a_text_with_very_many(spark):
+    import time
+
+    from quillstack.llm.secrets import find_secrets
+
+    text = " ".join(f"{i:020x} Tok{i:08d}Zyxwvuts{i:05d}" for i in range(16000))
+    began = time.time()
+    (got,) = find_secrets(frame(spark, [(1, text, "en", "s", "", 0)])).collect()
+    assert got.n_hex == got.spans.count("hex") == 16000 == got.spans.count("owned") and got.spans.endswith(f":{len(text)}") and time.time() - began < 60
+
+
 def test_secrets_in_many_documents_of_one_source_are_copied(spark):
     from quillstack.llm.secrets import find_secrets
 
@@ -333,32 +378,47 @@ def test_jpeg_decodes_bands_runs_and_refinement():
     assert (flat == 138).all()
 
 
-def test_decontamination(docs, none, spark):
+def test_decontamination(docs, none, spark, monkeypatch):
     from quillstack.llm.decontamination import decontaminate
 
     term = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
     words = (ROWS[0][1] or "").split()
-    items = [(1, " ".join(words[3:30]).upper()), (10, "One"), (2, None), (3, ""), (4, "never seen words here"), (5, " ".join(words[3:30])), (6, "a A a a a a a a a a a a a a"), (None, words[0]), (7, "é ß ½ never")]
+    items = [(1, " ".join(words[3:30]).upper()), (10, "One"), (2, None), (3, ""), (4, "never seen words here"), (5, " ".join(words[3:30])), (6, "a A a a a a a a a a a a a a"), (None, words[0]), (7, "é ß ½ never"), (8, " ".join(words[3:9] + ["zzz"] + words[10:13] + ["yyy"] + words[13:17]))]
     bench = spark.createDataFrame(items, "item_id long, text string")
     windows = {}
     for i, t in items:
         ws = term.findall(lower(t or ""))
         for k in range(max(1, len(ws) - 12) if ws else 0):
             windows.setdefault(tuple(ws[k : k + 13]), set()).add(i)
+    seen = Counter(w for r in ROWS for w in term.findall(lower(r[1] or "")))
+    pairs = {}
+    for w in windows:
+        by = sorted((seen[x], x) for x in set(w) if seen[x])
+        if len(set(w)) >= 5 and len(by) > 1:
+            pairs[w] = by[0][1], by[1][1]
     want = Counter()
     for r in ROWS:
-        ws, hit, ids = term.findall(lower(r[1] or "")), set(), set()
+        ws, hit, ids, near = term.findall(lower(r[1] or "")), set(), set(), set()
         for k in range(len(ws)):
+            around = set(ws[max(0, k - 12) : k + 13])
             for w, i in windows.items():
                 if tuple(ws[k : k + len(w)]) == w:
                     hit |= set(range(k, k + len(w)))
                     ids |= i
+                if w in pairs and ws[k] == pairs[w][0] and pairs[w][1] in around and len(around & set(w)) >= 0.8 * len(set(w)):
+                    near |= i
         named = sorted(str(i) for i in ids if i is not None)
-        want[r[0], len(ws), len(hit), len(named), hashlib.sha256(",".join(named).encode()).hexdigest(), bool(hit) and 20 * len(hit) >= len(ws)] += 1
+        want[r[0], len(ws), len(hit), len(named), hashlib.sha256(",".join(named).encode()).hexdigest(), len({i for i in near if i is not None} - ids), bool(hit) and 20 * len(hit) >= len(ws)] += 1
     got = Counter(map(tuple, decontaminate(docs, bench).drop("rk").collect()))
-    assert got == want and any(w[2] for w in want)
+    assert got == want and any(w[2] for w in want) and any(w[5] for w in want)
     assert decontaminate(none, bench).count() == 0
     assert {r.n_hit for r in decontaminate(docs, bench.limit(0)).collect()} == {0}
+    monkeypatch.setattr("quillstack.llm.decontamination.SMALL", 0)  # test sides too large to broadcast
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert Counter(map(tuple, decontaminate(docs, bench).drop("rk").collect())) == want
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
 def test_warc(spark):
