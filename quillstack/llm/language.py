@@ -4,10 +4,14 @@ A language is a distribution over the pieces of a fixed public vocabulary. The p
 sum over all its segmentations into pieces, from a forward algorithm; a text's is the product over its
 words. Piece probabilities come from expectation-maximisation over the words of labelled documents, of
 which about ``SAMPLE`` for each language are taken by a hash of their id; everything else covers all rows.
+Expected counts are added up on the executors, in whole millionths, so that reruns agree; the driver sees one
+row a piece and language.
 
-Words are split at ASCII white space and lower-cased; words without a letter say nothing. Characters that
+Words are split at ASCII white space and lower-cased; words without a letter say nothing. A word of more than
+``RUN`` characters is read as consecutive runs of so many, each by all its segmentations. Characters that
 no piece covers cost the same in every language. Null text, or text without a letter, is ``und`` with
-score 0; so is everything if nothing could be learned. The score is the posterior at equal priors.
+score 0; so is everything if nothing could be learned. The score is the posterior at equal priors. More
+than ``MOST_LANGUAGES`` labels are refused: the model goes to every executor.
 """
 
 from __future__ import annotations
@@ -20,10 +24,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import keyed, raw, ship, slices
+from .common import keyed, raw, ship, slices, width, written
 
 SAMPLE, STEPS, SMOOTH = 1000, 3, 0.1
-LONGEST, SHORT_WORD = 16, 32
+LONGEST, SHORT, RUN = 16, 33, 256
+MOST_LANGUAGES, WHOLE = 500, 1_000_000
 MARK = "▁"
 CACHE_WORDS = 200_000
 UNKNOWN = 1e-7
@@ -65,8 +70,8 @@ class Pieces:
 class Unigrams:
     """Probabilities (pieces + 1, languages); the last row is that of an unknown character."""
 
-    def __init__(self, pieces: list[str], probs: np.ndarray):
-        self.pieces, self.p = Pieces(pieces), probs
+    def __init__(self, pieces: Pieces | list[str], probs: np.ndarray):
+        self.pieces, self.p = pieces if isinstance(pieces, Pieces) else Pieces(pieces), probs
         self.unknown = len(probs) - 1
 
     def arcs(self, codes: np.ndarray):
@@ -95,67 +100,78 @@ class Unigrams:
                 f[i, own] += f[i - length, own] * self.p[at]
         return f
 
-    def long_word(self, word: str) -> np.ndarray:
-        """Log probability of one word of any length, rescaled at each character."""
-        window, total = [np.ones(self.p.shape[1])], np.zeros(self.p.shape[1])
-        index, p = self.pieces.index, self.p
-        for i in range(1, len(word) + 1):
-            new = np.zeros(self.p.shape[1])
-            for length in range(1, min(i, self.pieces.longest) + 1):
-                at = index.get(word[i - length : i], self.unknown if length == 1 else -1)
-                if at >= 0:
-                    new = new + window[-length] * p[at]
-            scale = new.copy()
-            total += np.log(scale)
-            window = [w / scale for w in window[-self.pieces.longest + 1 :]] + [np.ones(self.p.shape[1])]
-        return total
+    def scaled(self, codes: np.ndarray, arcs) -> np.ndarray:
+        """Logs of the forward sums, rescaled at each character: no length runs out of range."""
+        n = codes.shape[1]
+        logs, new, done = np.zeros((n + 1, len(codes), self.p.shape[1])), None, 0
+        for i, length, at, own in arcs:
+            if i != done:
+                if done:
+                    logs[done] = logs[done - 1] + np.log(new)
+                new, done = np.zeros(logs.shape[1:]), i
+            k = slice(None) if own is None else own
+            new[k] += self.p[at] * np.exp(logs[i - length, k] - logs[i - 1, k])
+        if done:
+            logs[done] = logs[done - 1] + np.log(new)
+        return logs
 
     def score(self, words: list[str]) -> np.ndarray:
         """Log probabilities (words, languages)."""
-        out = np.zeros((len(words), self.p.shape[1]))
-        for n, own in by_length(words).items():
-            if n > SHORT_WORD + 1:
-                for w in own:
-                    out[w] = self.long_word(MARK + words[w])
-            else:
-                for s in range(0, len(own), 20_000):
-                    part = own[s : s + 20_000]
-                    codes = codes_of([words[w] for w in part])
-                    out[part] = np.log(self.forward(codes, self.arcs(codes))[-1])
-        return out
+        units, of = units_of(words)
+        out = np.zeros((len(units), self.p.shape[1]))
+        for n, part in by_length(units):
+            codes = codes_of([units[u] for u in part])
+            arcs = self.arcs(codes)
+            out[part] = np.log(self.forward(codes, arcs)[-1]) if n <= SHORT else self.scaled(codes, arcs)[-1]
+        return np.add.reduceat(out, of, axis=0) if len(of) else out
 
     def expected(self, words: list[str], counts: np.ndarray) -> np.ndarray:
-        """Expected uses of each piece (pieces + 1, languages); words longer than SHORT_WORD don't teach."""
+        """Expected uses of each piece (pieces + 1, languages)."""
         out = np.zeros_like(self.p)
-        for n, own in by_length(words).items():
-            if n > SHORT_WORD + 1:
-                continue
-            for s in range(0, len(own), 20_000):
-                part = own[s : s + 20_000]
-                codes = codes_of([words[w] for w in part])
-                arcs = list(self.arcs(codes))
-                f = self.forward(codes, arcs)
-                b = np.zeros_like(f)
-                b[n] = counts[part] / f[n]
-                for i, length, at, at_words in reversed(arcs):
-                    k = slice(None) if at_words is None else at_words
-                    use = self.p[at] * b[i, k]
-                    b[i - length, k] += use
+        units, of = units_of(words)
+        counts = np.repeat(counts, np.diff(np.append(of, len(units))), axis=0)
+        for n, part in by_length(units):
+            codes = codes_of([units[u] for u in part])
+            arcs = list(self.arcs(codes))
+            logs = None if n <= SHORT else self.scaled(codes, arcs)
+            f = self.forward(codes, arcs) if logs is None else None
+            b = np.zeros((n + 1, len(part), self.p.shape[1]))
+            b[n] = counts[part] if f is None else counts[part] / f[n]
+            for i, length, at, own in reversed(arcs):
+                k = slice(None) if own is None else own
+                use = self.p[at] * b[i, k]
+                if f is None:  # b is relative to the forward sum of its place
+                    use = use * np.exp(logs[i - length, k] - logs[i, k])
+                b[i - length, k] += use
+                if f is not None:
                     use = use * f[i - length, k]
-                    for lang in range(self.p.shape[1]):
-                        out[:, lang] += np.bincount(at, use[:, lang], len(out))
+                for lang in range(self.p.shape[1]):
+                    out[:, lang] += np.bincount(at, use[:, lang], len(out))
         return out
 
 
-def by_length(words: list[str]) -> dict[int, list[int]]:
+def units_of(words: list[str]) -> tuple[list[str], np.ndarray]:
+    """Marked words in runs of RUN characters at most, and where each word's begin."""
+    units, of = [], []
+    for w in words:
+        w = MARK + w
+        of.append(len(units))
+        units += [w] if len(w) <= RUN else [w[k : k + RUN] for k in range(0, len(w), RUN)]
+    return units, np.array(of, np.int64)
+
+
+def by_length(units: list[str]):
+    """(length, units of it): in lots that bound the working memory."""
     out: dict[int, list[int]] = {}
-    for i, w in enumerate(words):
-        out.setdefault(len(w) + 1, []).append(i)
-    return out
+    for i, u in enumerate(units):
+        out.setdefault(len(u), []).append(i)
+    for n, own in out.items():
+        most = max(1, 640_000 // n)
+        yield from ((n, own[s : s + most]) for s in range(0, len(own), most))
 
 
-def codes_of(words: list[str]) -> np.ndarray:
-    return np.frombuffer("".join(MARK + w for w in words).encode("utf-32-le", "surrogatepass"), "<u4").reshape(len(words), -1)
+def codes_of(units: list[str]) -> np.ndarray:
+    return np.frombuffer("".join(units).encode("utf-32-le", "surrogatepass"), "<u4").reshape(len(units), -1)
 
 
 def has_letter(word: str) -> bool:
@@ -175,16 +191,23 @@ def pieces_of(model_file: str) -> list[str]:
     return [sp.id_to_piece(i) if not (sp.is_control(i) or sp.is_unknown(i) or sp.is_byte(i)) else "" for i in range(sp.get_piece_size())]
 
 
+_pieces: dict[str, Pieces] = {}
+
+
 def train(rows: DataFrame, vocabulary: str, sample: int = SAMPLE) -> tuple[list[str], list[str], np.ndarray]:
     """rows(doc_id, text, lang) that may teach -> (languages, pieces, probabilities)."""
-    ship(rows.sparkSession)
+    spark = rows.sparkSession
+    ship(spark)
     rows = rows.where(F.col("text").isNotNull() & F.col("lang").isNotNull())
-    n = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().collect()}  # one row a language
-    langs, pieces = sorted(n), pieces_of(vocabulary)
+    n = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().limit(MOST_LANGUAGES + 1).collect()}
+    if len(n) > MOST_LANGUAGES:
+        raise ValueError(f"more than {MOST_LANGUAGES} languages")
+    langs, pieces, name = sorted(n), pieces_of(vocabulary), uuid.uuid4().hex
     if not langs:
         return [], pieces, np.zeros((len(pieces) + 1, 0))
     share = F.create_map(*[F.lit(x) for k in langs for x in (k, min(1.0, sample / n[k]))])[F.col("lang")]
-    drawn = (F.pmod(F.xxhash64(F.lit("sample"), F.col("doc_id")), F.lit(1 << 30)) / float(1 << 30)) < share
+    drawn = (F.pmod(F.xxhash64(F.lit("sample"), F.col("doc_id"), F.when(F.col("doc_id").isNull(), F.col("text"))), F.lit(1 << 30)) / float(1 << 30)) < share
+    known = np.array([0 < len(p) <= LONGEST for p in pieces] + [False])
 
     def count(batches):
         for batch in batches:
@@ -197,17 +220,39 @@ def train(rows: DataFrame, vocabulary: str, sample: int = SAMPLE) -> tuple[list[
                         rows[lang, w] += k
                 yield pa.RecordBatch.from_pydict({"lang": pa.array([k[0] for k in rows], pa.string()), "word": pa.array([k[1] for k in rows], pa.string()), "n": pa.array(list(rows.values()), pa.int64())})
 
-    counted = rows.where(drawn).select("text", "lang").mapInArrow(count, "lang string, word string, n long").groupBy("lang", "word").agg(F.sum("n").alias("n")).toArrow()  # bounded by the sample
-    words: dict[str, int] = {}
-    at = np.array([words.setdefault(w, len(words)) for w in counted.column("word").to_pylist()], np.int64)
-    counts = np.zeros((len(words), len(langs)))
-    counts[at, np.array([langs.index(x) for x in counted.column("lang").to_pylist()], np.int64)] = counted.column("n").to_numpy()
-    known = np.array([0 < len(p) <= LONGEST for p in pieces] + [False])
+    def uses(batches):
+        langs, pieces, probs = sent.value
+        if name not in _pieces:
+            _pieces.clear()
+            _pieces[name] = Pieces(pieces)
+        model, total, kept = Unigrams(_pieces[name], probs), np.zeros(probs.shape, np.int64), {}
+        at = {x: i for i, x in enumerate(langs)}
+
+        def learn():
+            counts = np.array(list(kept.values()), float)
+            total[:] += np.rint(model.expected(list(kept), counts) * WHOLE).astype(np.int64)
+            kept.clear()
+
+        for batch in batches:
+            for lang, word, k in zip(*(batch.column(c).to_pylist() for c in ("lang", "word", "n")), strict=True):
+                kept.setdefault(word, [0] * len(langs))[at[lang]] += k
+            if len(kept) > 50_000:
+                learn()
+        if kept:
+            learn()
+        piece, lang = np.nonzero(total)
+        yield pa.RecordBatch.from_pydict({"piece": pa.array(piece.astype(np.int32)), "lang": pa.array(lang.astype(np.int32)), "n": pa.array(total[piece, lang])})
+
+    counted = rows.where(drawn).select("text", "lang").mapInArrow(count, "lang string, word string, n long").groupBy("lang", "word").agg(F.sum("n").alias("n"))
+    words = written(counted.repartition(width(spark), "word").sortWithinPartitions("word", "lang"), "language-words")
     probs = np.where(known, np.array([0.2 ** len(p) for p in pieces] + [0.0]), 0.0)[:, None] * np.ones(len(langs))
     probs = probs / probs.sum(0)
     probs[-1] = UNKNOWN
     for _ in range(STEPS):
-        used = Unigrams(pieces, probs).expected(list(words), counts)
+        sent = spark.sparkContext.broadcast((langs, pieces, probs))  # bounded by the vocabulary and MOST_LANGUAGES
+        got = words.mapInArrow(uses, "piece int, lang int, n long").groupBy("piece", "lang").agg(F.sum("n").alias("n")).toArrow()
+        used = np.zeros_like(probs)
+        used[got.column("piece").to_numpy(), got.column("lang").to_numpy()] = got.column("n").to_numpy() / WHOLE
         used[-1] = 0
         probs = np.where(known[:, None], used + SMOOTH, 0)
         probs = probs / probs.sum(0)
@@ -257,7 +302,7 @@ def identify(docs: DataFrame, vocabulary: str, folds: int = 4, held: int = 2, sa
     spark = docs.sparkSession
     fold = F.coalesce(F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(folds)) == held, F.lit(False))
     langs, pieces, probs = train(docs.where(~fold).select("doc_id", "text", "lang"), vocabulary, sample)
-    sent = spark.sparkContext.broadcast((langs, pieces, probs))  # bounded by the vocabulary
+    sent = spark.sparkContext.broadcast((langs, pieces, probs))  # bounded by the vocabulary and MOST_LANGUAGES
     rows, name = keyed(docs).withColumn("held_out", fold), uuid.uuid4().hex
 
     def run(batches):

@@ -189,6 +189,11 @@ def test_language_id(docs, none, spark):
     assert all(got[i].lang_pred == ("en", "fr", "de")[i % 3] and 0 <= got[i].score <= 1 for i in range(60))
     assert [got[i].lang_pred for i in (100, 101, 102)] == ["und"] * 3 and got[103].lang_pred in say and got[None].lang_pred == "fr"
     assert all(got[i].held_out == (zlib.crc32(str(i).encode()) % 4 == 2) for i in range(60))
+    spaceless = {"zh": "这是一个关于房子和花园的很长的句子没有空格", "ja": "これは家と庭についてのとても長い文章です空白はありません"}
+    rows = [(i, say_[(k := i % 7) :] + say_[:k], lang, "s", "x", 1) for i in range(40) for lang in [("zh", "ja")[i % 2]] for say_ in [spaceless[lang] * 9]]
+    got = [(r.doc_id, r.lang_pred, r.score) for r in identify(frame(spark, rows), path).collect()]
+    assert all(lang == ("zh", "ja")[i % 2] for i, lang, _ in got)  # one word of hundreds of characters each
+    assert sorted(got) == sorted((r.doc_id, r.lang_pred, r.score) for r in identify(frame(spark, rows).repartition(2), path).collect())
     assert identify(docs, path).count() == len(ROWS)
     assert identify(none, path).count() == 0
     assert {r.lang_pred for r in identify(frame(spark, [(1, "a b", None, "s", "x", 1)]), path).collect()} == {"und"}
@@ -206,7 +211,65 @@ def test_forward_sums_all_segmentations():
 
     words = ["a", "ab", "aba", "abab", "xa", "babab"]
     assert np.allclose(u.score(words)[:, 0], [np.log(brute("▁" + w)) for w in words])
-    assert np.allclose([u.long_word("▁" + w)[0] for w in words], u.score(words)[:, 0])
+    from quillstack.llm import language
+
+    def scaled(w):
+        codes = language.codes_of(["▁" + w])
+        return u.scaled(codes, u.arcs(codes))[-1, 0, 0]
+
+    assert np.allclose([scaled(w) for w in words], u.score(words)[:, 0])
+    # Long words teach as short ones do, and their runs add up.
+    counts = np.arange(1, 13, dtype=float).reshape(6, 2)
+    short, monkey = u.expected(words, counts), language.SHORT
+    language.SHORT = 0
+    try:
+        assert np.allclose(u.expected(words, counts), short) and short.sum() > 0
+    finally:
+        language.SHORT = monkey
+    long = "ab" * 400
+    parts = [("▁" + long)[k : k + language.RUN] for k in range(0, 801, language.RUN)]
+    assert np.allclose(u.score([long])[0, 0], sum(u.scaled(c, u.arcs(c))[-1, 0, 0] for c in map(language.codes_of, ([x] for x in parts))))
+    assert u.expected([long], np.ones((1, 2)))[:, 0].sum() > 100
+
+
+def test_language_id_equals_brute_force(spark, monkeypatch):
+    """Training and scoring by listing every segmentation."""
+    import random
+
+    from quillstack.llm import language
+
+    pieces = ["▁", "a", "b", "c", "ab", "▁a", "bc", "cab"]
+    monkeypatch.setattr(language, "pieces_of", lambda path: pieces)
+    r = random.Random(6)
+    rows = [(i, " ".join("".join(r.choice("aabc" if i % 2 else "abccx") for _ in range(r.randint(1, 6))) for _ in range(r.randint(1, 8))), ("p", "q")[i % 2], "s", "x", 1) for i in range(60)]
+    rows += [(100, None, "p", "s", "x", 1), (101, "12", "q", "s", "x", 1), (102, "AB ab", None, "s", "x", 1)]
+
+    def ways(w):
+        if not w:
+            yield []
+        for k in range(1, len(w) + 1):
+            if w[:k] in pieces or k == 1:
+                yield from ([pieces.index(w[:k]) if w[:k] in pieces else len(pieces), *rest] for rest in ways(w[k:]))
+
+    start = np.array([0.2 ** len(x) for x in pieces])
+    probs = np.append(start / start.sum(), 1e-7)[:, None] * np.ones(2)
+    spoken = lambda text: ["▁" + w.lower() for w in (text or "").split() if any(map(str.isalpha, w))]
+    teach = [(w, "pq".index(x[2])) for x in rows if x[2] and zlib.crc32(str(x[0]).encode()) % 4 != 2 for w in spoken(x[1])]
+    for _ in range(3):
+        used = np.zeros_like(probs)
+        for w, lang in teach:
+            each = [(s, np.prod(probs[s, lang])) for s in ways(w)]
+            for s, x in each:
+                np.add.at(used[:, lang], s, x / sum(y for _, y in each))
+        used = used[:-1] + 0.1
+        probs = np.vstack((used / used.sum(0), np.full((1, 2), 1e-7)))
+    got = {x.doc_id: x for x in language.identify(frame(spark, rows), "unused").collect()}
+    for x in rows:
+        logs = np.array([sum(np.log(sum(np.prod(probs[s, lang]) for s in ways(w))) for w in spoken(x[1])) for lang in range(2)])
+        if not spoken(x[1]):
+            assert (got[x[0]].lang_pred, got[x[0]].score) == ("und", 0.0)
+        else:
+            assert got[x[0]].lang_pred == "pq"[int(logs.argmax())] and abs(got[x[0]].score - 1 / np.exp(logs - logs.max()).sum()) < 1e-4
 
 
 def test_mix(docs, none):
