@@ -12,6 +12,7 @@ import tempfile
 import uuid
 import zipfile
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,6 +20,7 @@ from pyspark.sql import functions as F
 SPACE = b" \t\n\r\x0b\x0c"
 WORD = r"[^\x20\x09-\x0D]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+COPIES, MOST_PARTITIONS = 1000, 100_000
 _own_dir: list[str] = []
 _shipped: set[str] = set()
 
@@ -71,7 +73,52 @@ def width(spark: SparkSession, df: DataFrame | None = None, per: int = 32 << 20)
             size = 0
         if size < 1 << 60:
             n = max(n, size // per)
-    return max(1, min(n, 100_000))
+    return max(1, n)
+
+
+def dealt(rows: DataFrame, groups: int, *order: str) -> DataFrame:
+    """Rows brought together by their group ``to`` (0 to groups - 1), group after group, each in the given order.
+
+    A task holds one group at a time, so groups keep their size where there are more of them than partitions.
+    """
+    n = min(groups, MOST_PARTITIONS)
+    return rows.repartitionById(n, F.pmod(F.col("to"), F.lit(n)).cast("int")).sortWithinPartitions("to", *order)
+
+
+def by_group(batches):
+    """(group, its record batches) of rows sorted by ``to``."""
+    to, held = None, []
+    for batch in batches:
+        own = batch.column("to").to_numpy()
+        cuts = np.append(np.flatnonzero(np.append(True, own[1:] != own[:-1])), len(own)) if len(own) else []
+        for s, e in zip(cuts, cuts[1:], strict=False):
+            if own[s] != to:
+                if held:
+                    yield to, held
+                to, held = int(own[s]), []
+            held.append(batch.slice(s, e - s))
+    if held:
+        yield to, held
+
+
+def spread(rows: DataFrame, *keys: str) -> DataFrame:
+    """Rows with (copy, copies): one row stands for ``copies`` equal ones, the first of which has number ``copy``.
+
+    Rows that agree in the keys are equal. Up to COPIES of them stay as they are; more become a row for each COPIES, so that they
+    can be dealt to several tasks.
+    """
+    one = rows.withColumn("copy", F.lit(0).cast("long")).withColumn("copies", F.lit(1).cast("long"))
+    many = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > COPIES)
+    many = written(many, "copies").withColumnsRenamed({k: f"_{k}" for k in keys})
+    if many.isEmpty():
+        return one
+    same = F.lit(True)
+    for k in keys:
+        same = same & F.col(k).eqNullSafe(F.col(f"_{k}"))
+    first = F.sequence(F.lit(0).cast("long"), F.col("_n") - 1, F.lit(COPIES).cast("long"))
+    repeated = one.join(many, same).dropDuplicates(list(keys)).withColumn("copy", F.explode(first))
+    repeated = repeated.withColumn("copies", F.least(F.col("_n") - F.col("copy"), F.lit(COPIES))).select(*one.columns)
+    return one.join(many, same, "left_anti").unionByName(repeated)
 
 
 def keyed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

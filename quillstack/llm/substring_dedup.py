@@ -6,38 +6,42 @@ name is a hash of the pair. Names depend on content alone, so they are the same
 dictionary, and equal substrings get equal symbols but for a few at their ends. For every word position
 the parse tracks which symbols are certain whatever stands outside a window that starts or ends there.
 
-1. Low symbols (``LOW`` rounds, about three words): tasks ask which of theirs occur more than once in the
-   corpus. A window can only be repeated if all its certain symbols are; a window without one stays.
+1. Low symbols (``LOW`` rounds, about three words): which occur more than once in the corpus? A window can
+   only be repeated if all its certain symbols are; a window without one stays.
 2. High symbols (``HIGH`` rounds): equal names verify long repeats. All windows inside an occurrence that
    is not the first are repeats and are not looked at again.
-3. The windows that are left are compared by their 128-bit names; the first (doc_id, position) stays.
+3. The windows that are left are compared by their 128-bit names; the first (doc_id, text, position) stays.
 
-Questions are sent as sorted arrays of distinct names by buckets of names, answers come back as bitmaps,
-so a passage that a third of all documents share is one entry a task. Documents are dealt by hash of
-their id in compressed packs; nothing is broadcast or collected.
+Documents are dealt by hash to groups of bounded size in compressed packs. A group asks one row for each of
+its distinct names, so a passage that a third of all documents share is one row a group; names are counted
+and compared by one plain exchange on the name, and only what changes something goes back: low symbols that
+do repeat, occurrences that are not the first. Rows grow with the number of words, nothing is broadcast or
+collected. What a group knows after step 2 goes along as a bitmap of its words.
 
-Null text has no words; texts of fewer words than a window lose none. Null doc_id comes first. Rows
-with one doc_id are read as one document: among them the smaller position is the earlier one.
+Null text has no words; texts of fewer words than a window lose none. Null doc_id comes first. Rows that
+share a doc_id (or have none) are documents of their own, in the order of a hash of their text; equal rows
+are one document and keep the same words.
 """
 
 from __future__ import annotations
 
 import hashlib
 import io
-from functools import cached_property
+import zlib
 from itertools import compress
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import keyed, raw, ship, width, written
+from .common import by_group, dealt, keyed, raw, ship, spread, width, written
 
 WINDOW, LOW, HIGH = 20, 4, (12, 16)
 PER_GROUP = 4 << 20  # bytes of input files for each group of documents
-DOCS, LOWS, HIGHS, WINDOWS = range(4)
+DOCS, LOWS, HIGHS, WINDOWS, STATE = range(5)
 U = np.uint64
 
 
@@ -148,179 +152,136 @@ def word_names(words: list[bytes]) -> np.ndarray:
     return np.frombuffer(b"".join(map(xxhash.xxh3_128_digest, words)), "<u8").reshape(-1, 2)
 
 
-class Group:
-    """The documents of a group, parsed, with what the answers say about them so far."""
+class Texts:
+    """The documents of a group, in an order that depends on them alone."""
 
-    def __init__(self, packs: list[bytes], window: int, buckets: int):
-        self.window, self.buckets = window, buckets
+    def __init__(self, packs: list[bytes]):
         docs = pa.concat_tables([pa.ipc.open_stream(p).read_all() for p in packs])
         docs = docs.take(np.lexsort((docs.column("rk").to_numpy(), docs.column("order").to_numpy())))
-        self.ids, self.rks, self.order = docs.column("doc_id").combine_chunks(), docs.column("rk").combine_chunks(), docs.column("order").to_numpy()
+        self.ids, self.rks, self.copies = (docs.column(c).combine_chunks() for c in ("doc_id", "rk", "copies"))
+        self.order, self.sub = docs.column("order").to_numpy(), (self.rks.to_numpy() & 0x7FFFFFFF) << 32
         self.texts = docs.column("text").to_pylist()
-        names, counts = [np.zeros((0, 2), np.uint64)], []
-        for at in range(0, len(self.texts), 256):
-            split = [(t or b"").split() for t in self.texts[at : at + 256]]
-            counts += map(len, split)
-            names.append(word_names([w for ws in split for w in ws]))
+
+    def split(self):
+        for t in self.texts:
+            yield (t or b"").split()
+
+
+class Group(Texts):
+    """Documents, parsed."""
+
+    def __init__(self, packs: list[bytes], window: int):
+        super().__init__(packs)
+        self.window = window
+        names, counts, held = [np.zeros((0, 2), np.uint64)], [], []
+        for words in self.split():
+            counts.append(len(words))
+            held += words
+            if len(held) > 100_000:
+                names.append(word_names(held))
+                held = []
+        names.append(word_names(held))
         self.counts = np.array(counts, np.int64)
         self.begin = np.cumsum(self.counts) - self.counts
         self.a, self.b = np.ascontiguousarray(np.concatenate(names).T)
         self.doc = np.repeat(np.arange(len(counts), dtype=np.int32), self.counts)
         self.parse = Parse(self.a, self.b, self.doc, window)
+        self.low, self.low_of, times = np.unique(self.parse.low, return_inverse=True, return_counts=True)
+        self.low_many = times > 1
 
     def place(self, word: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(doc order, position in the document)"""
-        return self.order[self.doc[word]], word - self.begin[self.doc[word]]
-
-    def distinct(self, a: np.ndarray, b: np.ndarray, word: np.ndarray):
-        """Distinct names in bucket order: (index of each one's first occurrence, its number for each occurrence)."""
-        order, pos = self.place(word)
-        by = np.lexsort((pos, order, b, a, self.bucket(a)))
+        """(document's order, text's hash and position)"""
+        d = self.doc[word]
+        return self.order[d], self.sub[d] + (word - self.begin[d])
+
+    def firsts(self, a: np.ndarray, b: np.ndarray, word: np.ndarray) -> np.ndarray:
+        """Of occurrences of names: which are the first of their name in this group (equal rows have equal places)?"""
+        if not len(a):
+            return np.zeros(0, bool)
+        order, sub = self.place(word)
+        by = np.lexsort((sub, order, b, a))
         new = np.ones(len(by), bool)
         new[1:] = (a[by][1:] != a[by][:-1]) | (b[by][1:] != b[by][:-1])
-        number = np.zeros(len(by), np.int64)
-        number[by] = np.cumsum(new) - 1
-        return by[new], number
-
-    def bucket(self, a: np.ndarray) -> np.ndarray:
-        return ((a >> U(33)) % U(self.buckets)).astype(np.int64)
-
-    # Questions, computed once; those about windows once the answers on symbols are learned.
-    @cached_property
-    def ask_low(self):
-        low = self.parse.low
-        names, times = np.unique(low, return_counts=True)
-        by = np.argsort(self.bucket(names), kind="stable")
-        return names[by], times[by] > 1
-
-    @cached_property
-    def ask_high(self):
-        a, b, start, _ = self.parse.high
-        first, number = self.distinct(a, b, start)
-        order, pos = self.place(start[first])
-        return first, number, (a[first], b[first], order, pos)
-
-    def learn_low(self, bits: np.ndarray) -> None:
-        names, _ = self.ask_low
-        by = np.argsort(names)
-        self.again = bits[by][np.searchsorted(names, self.parse.low, sorter=by)]
-
-    def later(self, first: np.ndarray, number: np.ndarray, word: np.ndarray, bits: np.ndarray) -> np.ndarray:
-        """Occurrences that are not the corpus's first. bits: the first one here is the first of all."""
-        order, pos = self.place(word)
-        return ~bits[number] | (order != order[first][number]) | (pos != pos[first][number])
-
-    def learn_high(self, bits: np.ndarray) -> None:
-        first, number, _ = self.ask_high
-        _, _, start, length = self.parse.high
-        own = self.later(first, number, start, bits) if len(start) else np.zeros(0, bool)
+        lead = by[new][np.cumsum(new) - 1]
+        out = np.zeros(len(a), bool)
+        out[by] = (order[by] == order[lead]) & (sub[by] == sub[lead])
+        return out
+
+    def learn_symbols(self, repeated_low: np.ndarray, later_high: np.ndarray) -> None:
+        """Answers: numbers of the low names that repeat, of the high occurrences that are not the corpus's first."""
+        many = self.low_many.copy()
+        many[repeated_low] = True
+        self.again = many[self.low_of]
+        a, b, start, length = self.parse.high
+        later = ~self.firsts(a, b, start)
+        later[later_high] = True
         self.gone = np.zeros(len(self.a) + 1, np.int32)
-        np.add.at(self.gone, start[own], 1)
-        np.add.at(self.gone, start[own] + length[own], -1)
+        np.add.at(self.gone, start[later], 1)
+        np.add.at(self.gone, start[later] + length[later], -1)
         inside = np.zeros(len(self.a) + 1, np.int32)
-        np.add.at(inside, start[own], 1)
-        np.add.at(inside, start[own] + length[own] - self.window + 1, -1)
+        np.add.at(inside, start[later], 1)
+        np.add.at(inside, start[later] + length[later] - self.window + 1, -1)
         self.inside = np.cumsum(inside)[:-1] > 0
 
-    @cached_property
-    def ask_windows(self):
+    def windows(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(start, a, b) of the windows that are open and the first here; the others of them are gone."""
         w, n = self.window, len(self.a)
         start = np.arange(max(0, n - w + 1))
         start = start[self.doc[start] == self.doc[start + w - 1]] if len(start) else start
         start = start[~self.inside[start]]
         a, b = self.parse.first[start].astype(np.int64), self.parse.last[start + w - 1].astype(np.int64)
-        once = np.concatenate(([0], np.cumsum(~self.again)))
-        k = len(self.again)
+        once, k = np.concatenate(([0], np.cumsum(~self.again))), len(self.again)
         start = start[(a > b) | (once[np.clip(b + 1, 0, k)] == once[np.clip(a, 0, k)])]
         x, y = window_names(self.a, w)[start], window_names(self.b, w)[start]
-        first, number = self.distinct(x, y, start)
-        order, pos = self.place(start[first])
-        return first, number, start, (x[first], y[first], order, pos)
-
-    def learn_windows(self, bits: np.ndarray) -> None:
-        first, number, start, _ = self.ask_windows
-        own = start[self.later(first, number, start, bits)] if len(start) else start
-        np.add.at(self.gone, own, 1)
-        np.add.at(self.gone, own + self.window, -1)
-        self.removed = np.cumsum(self.gone)[:-1] > 0
-
-
-def cuts(bucket: np.ndarray):
-    """(bucket, from, to) of each run of equal buckets."""
-    if len(bucket):
-        at = np.append(np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1])), len(bucket))
-        yield from zip(bucket[at[:-1]].tolist(), at[:-1].tolist(), at[1:].tolist(), strict=True)
-
-
-SCHEMA = "to int, src int, kind int, data binary"
-ROW = pa.schema([("to", pa.int32()), ("src", pa.int32()), ("kind", pa.int32()), ("data", pa.binary())])
-
-
-def rows_of(rows: list[tuple[int, int, int, bytes]]):
-    for s in range(0, len(rows), 64):
-        yield pa.RecordBatch.from_pylist([dict(zip(("to", "src", "kind", "data"), r, strict=True)) for r in rows[s : s + 64]], ROW)
-
-
-def questions(group: Group, me: int, kinds: tuple[int, ...]) -> list[tuple[int, int, int, bytes]]:
-    out = []
-    if LOWS in kinds:
-        names, many = group.ask_low
-        out += [(k, me, LOWS, names[s:e].tobytes() + np.packbits(many[s:e]).tobytes()) for k, s, e in cuts(group.bucket(names))]
-    for kind in kinds:
-        if kind in (HIGHS, WINDOWS):
-            cols = group.ask_high[-1] if kind == HIGHS else group.ask_windows[-1]
-            out += [(k, me, kind, b"".join(c[s:e].astype("<i8" if c.dtype != np.uint64 else "<u8").tobytes() for c in cols)) for k, s, e in cuts(group.bucket(cols[0]))]
-    return out
-
-
-def answers(asked: list[tuple[int, int, bytes]], me: int) -> list[tuple[int, int, int, bytes]]:
-    """Bitmaps for the questions (src, kind, data) of one bucket."""
-    out = []
-    if own := [(src, data) for src, kind, data in asked if kind == LOWS]:
-        sizes = [8 * len(d) // 65 for _, d in own]  # 8 bytes and a bit for each name
-        sizes = [n if 8 * n + (n + 7) // 8 == len(d) else n - 1 for n, (_, d) in zip(sizes, own, strict=True)]
-        names = np.concatenate([np.frombuffer(d, "<u8", n) for n, (_, d) in zip(sizes, own, strict=True)])
-        many = np.concatenate([np.unpackbits(np.frombuffer(d, np.uint8, -1, 8 * n), count=n).view(bool) for n, (_, d) in zip(sizes, own, strict=True)])
-        by = np.argsort(names, kind="stable")
-        new = np.ones(len(by), bool)
-        new[1:] = names[by][1:] != names[by][:-1]
-        number = np.cumsum(new) - 1
-        twice = (np.bincount(number) > 1) | (np.bincount(number, many[by]) > 0)
-        bits = np.zeros(len(by), bool)
-        bits[by] = twice[number]
-        at = np.cumsum([0, *sizes])
-        out += [(src, me, LOWS, np.packbits(bits[s:e]).tobytes()) for (src, _), s, e in zip(own, at, at[1:], strict=False)]
-    for kind in (HIGHS, WINDOWS):
-        if own := [(src, data) for src, k, data in asked if k == kind]:
-            sizes = [len(d) // 32 for _, d in own]
-            a, b, order, pos = (np.concatenate([np.frombuffer(d, t, n, 8 * n * c) for n, (_, d) in zip(sizes, own, strict=True)]) for c, t in enumerate(("<u8", "<u8", "<i8", "<i8")))
-            by = np.lexsort((pos, order, b, a))
-            new = np.ones(len(by), bool)
-            new[1:] = (a[by][1:] != a[by][:-1]) | (b[by][1:] != b[by][:-1])
-            lead = by[new][np.cumsum(new) - 1]  # the first occurrence for each, in sorted order
-            bits = np.zeros(len(by), bool)
-            bits[by] = (order[by] == order[lead]) & (pos[by] == pos[lead])
-            at = np.cumsum([0, *sizes])
-            out += [(src, me, kind, np.packbits(bits[s:e]).tobytes()) for (src, _), s, e in zip(own, at, at[1:], strict=False)]
-    return out
-
-
-def learn(group: Group, told: dict[int, dict[int, bytes]], kind: int) -> None:
-    if kind == LOWS:
-        bucket = group.bucket(group.ask_low[0])
-    else:
-        bucket = group.bucket((group.ask_high if kind == HIGHS else group.ask_windows)[-1][0])
-    bits = [np.zeros(0, bool)] + [np.unpackbits(np.frombuffer(told[kind][k], np.uint8), count=e - s).view(bool) for k, s, e in cuts(bucket)]
-    {LOWS: group.learn_low, HIGHS: group.learn_high, WINDOWS: group.learn_windows}[kind](np.concatenate(bits))
+        first = self.firsts(x, y, start)
+        np.add.at(self.gone, start[~first], 1)
+        np.add.at(self.gone, start[~first] + w, -1)
+        return start[first], x[first], y[first]
+
+    def state(self) -> bytes:
+        """A bitmap of the words that are gone by now."""
+        return zlib.compress(np.packbits(np.cumsum(self.gone)[:-1] > 0).tobytes(), 1)
 
 
 # ---------------------------------------------------------------- plan
-def substring_dedup(docs: DataFrame, window: int = WINDOW, with_text: bool = True) -> DataFrame:
+QUESTION = pa.schema([("src", pa.int32()), ("kind", pa.int32()), ("a", pa.int64()), ("b", pa.int64()), ("ord", pa.int64()), ("sub", pa.int64()), ("many", pa.bool_()), ("at", pa.int32()), ("data", pa.binary())])
+QUESTIONS = "src int, kind int, a long, b long, ord long, sub long, many boolean, at int, data binary"
+ROWS = "to int, kind int, at int, data binary"
+
+
+def asked(src: int, kind: int, a: np.ndarray, at: np.ndarray, b=None, place=None, many=None):
+    """Questions as record batches."""
+    for s in range(0, len(a), 50_000):
+        n = len(a[s : s + 50_000])
+        long = lambda x: pa.array(np.zeros(n, np.int64) if x is None else np.ascontiguousarray(x[s : s + 50_000]).view(np.int64))  # noqa: E731, B023
+        flags = pa.array(np.zeros(n, bool) if many is None else many[s : s + 50_000])
+        order, sub = place or (None, None)
+        yield pa.RecordBatch.from_arrays([pa.array(np.full(n, src, np.int32)), pa.array(np.full(n, kind, np.int32)), long(a), long(b), long(order), long(sub), flags, pa.array(at[s : s + 50_000].astype(np.int32)), pa.nulls(n, pa.binary())], schema=QUESTION)
+
+
+def verdicts(questions: DataFrame) -> DataFrame:
+    """What goes back to the groups: low names that another has too (and that are not ``many`` there already), occurrences that are not the first, their own states."""
+    same, place = Window.partitionBy("a", "b", "kind"), F.struct("ord", "sub")
+    told = questions.withColumn("n", F.count(F.lit(1)).over(same)).withColumn("lead", F.min(place).over(same))
+    return told.where(F.when(F.col("kind") == LOWS, (F.col("n") > 1) & ~F.col("many")).when(F.col("kind") == STATE, F.lit(True)).otherwise(F.col("lead") != place)).select(F.col("src").alias("to"), "kind", "at", "data")
+
+
+def read(batches: list[pa.RecordBatch]) -> tuple[list[bytes], dict[int, np.ndarray], bytes | None]:
+    """(packs, answers by kind, state) of one group."""
+    table = pa.Table.from_batches(batches)
+    kind, at = table.column("kind").to_numpy(), table.column("at").fill_null(0).to_numpy()
+    data = table.filter(pc.is_valid(table.column("data")))
+    held = list(zip(data.column("kind").to_pylist(), data.column("data").to_pylist(), strict=True))
+    return [d for k, d in held if k == DOCS], {k: at[kind == k] for k in (LOWS, HIGHS, WINDOWS)}, next((d for k, d in held if k == STATE), None)
+
+
+def substring_dedup(docs: DataFrame, window: int = WINDOW, with_text: bool = True, per_group: int = PER_GROUP) -> DataFrame:
     """(doc_id, rk, n_words, n_removed, kept_sha256, removed [, kept]); removed: word spans, end exclusive."""
     spark = docs.sparkSession
     ship(spark)
-    n = width(spark, docs, PER_GROUP)
-    rows = keyed(docs).withColumn("doc_id", F.col("doc_id").cast("long")).withColumn("to", F.pmod(F.xxhash64("doc_id"), F.lit(n)).cast("int"))
+    n = width(spark, docs, per_group)
+    rows = spread(keyed(docs).withColumn("doc_id", F.col("doc_id").cast("long")), "doc_id", "rk")
+    rows = rows.withColumn("to", F.pmod(F.xxhash64("doc_id", "rk", "copy"), F.lit(n)).cast("int")).drop("copy")
 
     def pack(batches):
         held, size = [], 0
@@ -330,17 +291,18 @@ def substring_dedup(docs: DataFrame, window: int = WINDOW, with_text: bool = Tru
             to = table.column("to").to_numpy()
             by = np.argsort(to, kind="stable")
             table = table.take(by)
-            for k, s, e in cuts(to[by]):
+            cuts = np.append(np.flatnonzero(np.append(True, to[by][1:] != to[by][:-1])), len(by)).tolist()
+            for s, e in zip(cuts, cuts[1:], strict=False):
                 part = table.slice(s, e - s).drop_columns(["to"]).combine_chunks()
                 sink = io.BytesIO()
                 with pa.ipc.new_stream(sink, part.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as w:
                     w.write_table(part)
-                yield from rows_of([(k, 0, DOCS, sink.getvalue())])
+                yield pa.RecordBatch.from_pydict({"to": pa.array([to[by[s]]], pa.int32()), "kind": pa.array([DOCS], pa.int32()), "at": pa.nulls(1, pa.int32()), "data": pa.array([sink.getvalue()], pa.binary())})
 
         for batch in batches:
             ids, texts = batch.column("doc_id"), pa.array(raw(batch, "text"), pa.large_binary())
             order = ids.fill_null(np.iinfo(np.int64).min)
-            whole = pa.RecordBatch.from_arrays([batch.column("to"), ids, batch.column("rk"), order, texts], ["to", "doc_id", "rk", "order", "text"])
+            whole = pa.RecordBatch.from_arrays([batch.column("to"), ids, batch.column("rk"), order, texts, batch.column("copies")], ["to", "doc_id", "rk", "order", "text", "copies"])
             for s in range(0, len(ids), 1000):
                 held.append(whole.slice(s, 1000))
                 size += held[-1].nbytes
@@ -350,68 +312,59 @@ def substring_dedup(docs: DataFrame, window: int = WINDOW, with_text: bool = Tru
         if held:
             yield from flush()
 
-    def read(batches):
-        packs, told = [], {LOWS: {}, HIGHS: {}, WINDOWS: {}}
-        me = None
-        for batch in batches:
-            for to, src, kind, data in zip(*(batch.column(c).to_pylist() for c in ("to", "src", "kind", "data")), strict=True):
-                me = to
-                packs.append(data) if kind == DOCS else told[kind].__setitem__(src, data)
-        return me, packs, told
-
     def first_pass(batches):
-        me, packs, _ = read(batches)
-        if packs:
-            yield from rows_of(questions(Group(packs, window, n), me, (LOWS, HIGHS)))
+        for me, own in by_group(batches):
+            group = Group(read(own)[0], window)
+            yield from asked(me, LOWS, group.low, np.arange(len(group.low)), many=group.low_many)
+            a, b, start, _ = group.parse.high
+            at = np.flatnonzero(group.firsts(a, b, start))
+            yield from asked(me, HIGHS, a[at], at, b[at], group.place(start[at]))
 
     def second_pass(batches):
-        me, packs, told = read(batches)
-        if packs:
-            group = Group(packs, window, n)
+        for me, own in by_group(batches):
+            packs, told, _ = read(own)
+            own.clear()
+            group = Group(packs, window)
             packs.clear()
-            learn(group, told, LOWS)
-            learn(group, told, HIGHS)
-            yield from rows_of(questions(group, me, (WINDOWS,)))
-
-    def reply(batches):
-        asked, me = [], None
-        for batch in batches:
-            me = batch.column("to")[0].as_py() if batch.num_rows else me
-            asked += zip(*(batch.column(c).to_pylist() for c in ("src", "kind", "data")), strict=True)
-        if asked:
-            yield from rows_of(answers(asked, me))
+            group.learn_symbols(told[LOWS], told[HIGHS])
+            start, a, b = group.windows()
+            yield from asked(me, WINDOWS, a, start, b, group.place(start))
+            yield pa.RecordBatch.from_pylist([{"src": me, "kind": STATE, "a": me, "b": 0, "ord": 0, "sub": 0, "many": False, "at": 0, "data": group.state()}], QUESTION)
 
     def third_pass(batches):
-        _, packs, told = read(batches)
-        if not packs:
-            return
-        group = Group(packs, window, n)
-        packs.clear()
-        for kind in (LOWS, HIGHS, WINDOWS):
-            learn(group, told, kind)
-        some = np.bincount(group.doc[group.removed], minlength=len(group.texts)) > 0
-        for at in range(0, len(group.texts), 500):
-            gone, sha, spans, kept = [], [], [], []
-            for d in range(at, min(at + 500, len(group.texts))):
-                words, out, edge = (group.texts[d] or b"").split(), None, ()
-                if some[d]:
-                    out = group.removed[group.begin[d] : group.begin[d] + group.counts[d]]
+        for _, own in by_group(batches):
+            packs, told, state = read(own)
+            own.clear()
+            group = Texts(packs)
+            packs.clear()
+            counts = np.fromiter(map(len, group.split()), np.int64, len(group.texts))
+            total = int(counts.sum())
+            gone = np.zeros(total + 1, np.int32)
+            np.add.at(gone, told[WINDOWS], 1)
+            np.add.at(gone, told[WINDOWS] + window, -1)
+            removed = (np.cumsum(gone)[:-1] > 0) | np.unpackbits(np.frombuffer(zlib.decompress(state), np.uint8), count=total).view(bool)
+            begin = np.cumsum(counts) - counts
+            yield from cleaned(group, counts, begin, removed)
+
+    def cleaned(group, counts, begin, removed):
+        for at in range(0, len(group.texts), 200):
+            rows = []
+            for d in range(at, min(at + 200, len(group.texts))):
+                words, edge = (group.texts[d] or b"").split(), ()
+                out = removed[begin[d] : begin[d] + counts[d]]
+                if out.any():
                     words = list(compress(words, (~out).tolist()))
                     edge = np.flatnonzero(np.diff(np.concatenate(([0], out.view(np.int8), [0])))).reshape(-1, 2).tolist()
                 text = b" ".join(words)
-                gone.append(int(group.counts[d]) - len(words))
-                sha.append(hashlib.sha256(text).hexdigest())
-                spans.append([{"start": s, "end": e} for s, e in edge])
-                kept.append(text)
-            cols = {"doc_id": group.ids[at : at + 500], "rk": group.rks[at : at + 500], "n_words": pa.array(group.counts[at : at + 500]), "n_removed": pa.array(gone, pa.int64()), "kept_sha256": pa.array(sha, pa.string()), "removed": pa.array(spans, pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())])))}
-            if with_text:
-                cols["kept"] = pa.array(kept, pa.binary()).cast(pa.string())
-            yield pa.RecordBatch.from_pydict(cols)
-
-    packs = rows.mapInArrow(pack, SCHEMA)
-    asked = packs.repartitionById(n, "to").mapInArrow(first_pass, SCHEMA)
-    symbols = written(asked.repartitionById(n, "to").mapInArrow(reply, SCHEMA), "substring-symbols")
-    asked = packs.unionByName(symbols).repartitionById(n, "to").mapInArrow(second_pass, SCHEMA)
-    repeats = written(asked.repartitionById(n, "to").mapInArrow(reply, SCHEMA), "substring-windows")
+                row = {"doc_id": group.ids[d].as_py(), "rk": group.rks[d].as_py(), "n_words": int(counts[d]), "n_removed": int(counts[d]) - len(words), "kept_sha256": hashlib.sha256(text).hexdigest(), "removed": [{"start": s, "end": e} for s, e in edge]}
+                rows += [row | ({"kept": text} if with_text else {})] * group.copies[d].as_py()
+            yield pa.RecordBatch.from_pylist(rows, RESULT if with_text else pa.schema(list(RESULT)[:-1]))
+
+    packs = rows.mapInArrow(pack, ROWS)
+    symbols = written(verdicts(dealt(packs, n, "kind").mapInArrow(first_pass, QUESTIONS)), "substring-symbols")
+    repeats = written(verdicts(dealt(packs.unionByName(symbols), n, "kind").mapInArrow(second_pass, QUESTIONS)), "substring-windows")
     schema = "doc_id long, rk long, n_words long, n_removed long, kept_sha256 string, removed array<struct<start:long,end:long>>" + ", kept string" * with_text
-    return packs.unionByName(symbols).unionByName(repeats).repartitionById(n, "to").mapInArrow(third_pass, schema)
+    return dealt(packs.unionByName(repeats), n, "kind").mapInArrow(third_pass, schema)
+
+
+RESULT = pa.schema([("doc_id", pa.int64()), ("rk", pa.int64()), ("n_words", pa.int64()), ("n_removed", pa.int64()), ("kept_sha256", pa.string()), ("removed", pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))), ("kept", pa.string())])

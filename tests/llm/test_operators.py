@@ -31,27 +31,54 @@ def order(i):
     return -(1 << 63) if i is None else i
 
 
-def test_substring_dedup(docs, none):
+def check_substrings(frame_, rows, **options):
+    from pyspark.sql import functions as F
+
     from quillstack.llm.substring_dedup import substring_dedup
 
-    first, words = {}, [(r[0], (r[1] or "").encode().split()) for r in ROWS]
-    for i, ws in words:
+    low = {(r[0], r[1]): r[2] & 0x7FFFFFFF for r in frame_.select("doc_id", "text", F.xxhash64("doc_id", "text")).distinct().collect()}
+    first, words = {}, [(r[0], (order(r[0]), low[r[0], r[1]]), (r[1] or "").encode().split()) for r in rows]
+    for _, place, ws in words:
         for k in range(len(ws) - 19):
-            key, at = tuple(ws[k : k + 20]), (order(i), k)
+            key, at = tuple(ws[k : k + 20]), (place, k)
             first[key] = min(first.get(key, at), at)
     want = Counter()
-    for i, ws in words:
+    for i, place, ws in words:
         gone = [False] * len(ws)
         for k in range(len(ws) - 19):
-            if first[tuple(ws[k : k + 20])] < (order(i), k):
+            if first[tuple(ws[k : k + 20])] < (place, k):
                 gone[k : k + 20] = [True] * 20
         kept = b" ".join(w for w, g in zip(ws, gone, strict=True) if not g)
         want[i, len(ws), sum(gone), hashlib.sha256(kept).hexdigest(), kept.decode()] += 1
-    got = Counter((r.doc_id, r.n_words, r.n_removed, r.kept_sha256, r.kept) for r in substring_dedup(docs).collect())
-    assert got == want and sum(w[2] for w in want) > 100
+    got = Counter((r.doc_id, r.n_words, r.n_removed, r.kept_sha256, r.kept) for r in substring_dedup(frame_, **options).collect())
+    assert got == want
+    return want
+
+
+def test_substring_dedup(docs, none):
+    from quillstack.llm.substring_dedup import substring_dedup
+
+    assert sum(w[2] for w in check_substrings(docs, ROWS)) > 100
     assert substring_dedup(none).count() == 0
 
 
+def test_substrings_of_long_texts_and_shared_ids(spark, monkeypatch):
+    """Many groups for few partitions, null and shared ids, more copies of a row than go in one task, a text far above a group's size."""
+    import random
+
+    r = random.Random(8)
+    vocab = [f"w{i}" for i in range(300)]
+    passage = " ".join(r.choice(vocab) for _ in range(70))
+    text = lambda n: " ".join(r.choice(vocab) for _ in range(n))
+    rows = [(r.choice((None, 7, i)), text(r.randint(0, 80)) + " " + passage * r.randint(0, 2) + " " + text(5), "en", "s", "", 0) for i in range(150)]
+    rows += [(i, "a a a " * r.randint(5, 20) + passage, "en", "s", "", 0) for i in range(300, 320)]
+    rows += [(500, text(400_000) + " " + passage, "en", "s", "", 0)] + [(600, passage + " end", "en", "s", "", 0)] * 45
+    monkeypatch.setattr("quillstack.llm.common.COPIES", 20)
+    monkeypatch.setattr("quillstack.llm.common.MOST_PARTITIONS", 4)
+    frame_ = spark.createDataFrame(rows, DOCS).repartition(5).cache()
+    check_substrings(frame_, rows, per_group=200_000)
+
+
 @pytest.mark.parametrize("seed", range(3))
 def test_forward_of_frame_of_reference(seed):
     from quillstack.llm.token_binary import pack, read_shard, shard_bytes, unpack
