@@ -9,7 +9,6 @@ from __future__ import annotations
 
 import os
 import tempfile
-import uuid
 import zipfile
 
 import numpy as np
@@ -17,11 +16,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..plans.barrier import held
+
 SPACE = b" \t\n\r\x0b\x0c"
 WORD = r"[^\x20\x09-\x0D]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 COPIES, MOST_PARTITIONS = 1000, 100_000
-_own_dir: list[str] = []
 _shipped: set[str] = set()
 
 
@@ -46,43 +46,28 @@ def ship(spark: SparkSession) -> None:
     _shipped.add(sc.applicationId)
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share; one of our own only where none is configured."""
-    if found := spark.conf.get("spark.checkpoint.dir", None):
-        return found.rstrip("/")
-    if not _own_dir:
-        _own_dir.append("file://" + tempfile.mkdtemp(prefix="quillstack-"))
-    return _own_dir[0]
-
-
-def written(df: DataFrame, name: str, codec: str = "snappy") -> DataFrame:
-    """Write a table to the shared folder and read it again: cuts the lineage, survives executors."""
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/quillstack/{name}-{uuid.uuid4().hex}"
-    df.write.option("compression", codec).parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+#: Write a table to the shared folder and read it again.
+written = held
 
 
 def width(spark: SparkSession, df: DataFrame | None = None, per: int = 32 << 20) -> int:
     """Partitions for an exchange: the session's number, more if the input's files are large."""
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     if df is not None:
-        try:
-            size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
-        except Exception:  # statistics are a hint only
-            size = 0
-        if size < 1 << 60:
-            n = max(n, size // per)
+        size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+        if size < 1 << 60:  # Spark's way to say that it does not know
+            n = max(n, -(-size // per))
     return max(1, n)
 
 
-def dealt(rows: DataFrame, groups: int, *order: str) -> DataFrame:
-    """Rows brought together by their group ``to`` (0 to groups - 1), group after group, each in the given order.
+def dealt(rows: DataFrame, groups: int) -> DataFrame:
+    """Rows brought together by their group ``to`` (0 to groups - 1).
 
-    A task holds one group at a time, so groups keep their size where there are more of them than partitions.
+    With more groups than MOST_PARTITIONS, a task has several, one after the other, so groups keep their size.
     """
     n = min(groups, MOST_PARTITIONS)
-    return rows.repartitionById(n, F.pmod(F.col("to"), F.lit(n)).cast("int")).sortWithinPartitions("to", *order)
+    out = rows.repartitionById(n, F.pmod(F.col("to"), F.lit(n)).cast("int"))
+    return out if groups == n else out.sortWithinPartitions("to")
 
 
 def by_group(batches):

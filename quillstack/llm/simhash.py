@@ -1,12 +1,16 @@
 """SimHash near-duplicates with a Gray-order hierarchical index.
 
 Fingerprints are 64-bit majorities of the XXH64 hashes of word shingles. Distinct fingerprints are
-dealt to tasks by pairs of bit blocks: with six blocks, two fingerprints that differ in at most four
-bits agree on two blocks. In a task the fingerprints of a key are sorted by Gray rank and indexed by a
+dealt to groups by sets of bit blocks: with six blocks, two fingerprints that differ in at most four
+bits agree on two blocks; a larger limit takes more blocks that agree, so that groups stay small. In a group the fingerprints of a key are sorted by Gray rank and indexed by a
 tree: each node keeps the mask of bits that all below it share and their pattern. Pairs of nodes are
 walked from the roots; bits that both nodes share and that differ add up on the way down, and a pair
 is dropped with all below it when they exceed the limit, or when all below both is linked already. A
-task returns a spanning forest of the links it finds, never all pairs of a group.
+group returns a spanning forest of the links it finds, never all pairs.
+
+Random fingerprints of a very large corpus come within a larger limit by chance. A *guard* is a second
+fingerprint, from rehashed shingles: a link then also needs no more than ``guard`` differing bits in both
+together. Documents are then told apart by both fingerprints, as a 64-bit hash of them.
 
 Null text and text without words have fingerprint zero, linked like any other. Short texts hash their
 whole word sequence. Repeated rows share a fingerprint. A component's id is its smallest non-null doc_id.
@@ -22,7 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import keyed, raw, ship, slices, width, written
+from .common import by_group, dealt, keyed, raw, ship, slices, width, written
 from .components import components
 
 SEED, SHINGLE, LIMIT = 42, 4, 4
@@ -62,8 +66,12 @@ def majorities(hashes: np.ndarray, counts: np.ndarray) -> np.ndarray:
     return out
 
 
-def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """(doc_id, rk, fp long)"""
+def node_of(fps: np.ndarray, second: np.ndarray | None) -> np.ndarray:
+    return fps if second is None else mixed(fps + mixed(second ^ np.uint64(0xA0761D6478BD642F)))
+
+
+def fingerprints(docs: DataFrame, shingle: int = SHINGLE, guarded: bool = False) -> DataFrame:
+    """(doc_id, rk, fp long, second long, node long); second is null without a guard, node the fingerprint."""
     ship(docs.sparkSession)
     rows = keyed(docs)
 
@@ -73,19 +81,22 @@ def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
             for a, b in slices(texts):
                 own = [shingle_hashes(t, shingle) for t in texts[a:b]]
                 counts = np.array([len(x) for x in own], np.int64)
-                fps = majorities(np.fromiter((h for x in own for h in x), np.uint64, int(counts.sum())), counts)
-                yield pa.RecordBatch.from_arrays([batch.column("doc_id")[a:b], batch.column("rk")[a:b], pa.array(fps.view(np.int64))], ["doc_id", "rk", "fp"])
+                hashes = np.fromiter((h for x in own for h in x), np.uint64, int(counts.sum()))
+                fps = majorities(hashes, counts)
+                second = majorities(mixed(hashes), counts) if guarded else None
+                more = pa.nulls(b - a, pa.int64()) if second is None else pa.array(second.view(np.int64))
+                yield pa.RecordBatch.from_arrays([batch.column("doc_id")[a:b], batch.column("rk")[a:b], pa.array(fps.view(np.int64)), more, pa.array(node_of(fps, second).view(np.int64))], ["doc_id", "rk", "fp", "second", "node"])
 
-    return rows.mapInArrow(run, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, rk long, fp long")
+    return rows.mapInArrow(run, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, rk long, fp long, second long, node long")
 
 
 # ---------------------------------------------------------------- keys
-def block_masks(limit: int = LIMIT) -> list[np.uint64]:
-    """Masks of all pairs of limit+2 blocks: fingerprints within ``limit`` bits agree on one at least."""
-    n = limit + 2
+def block_masks(limit: int = LIMIT, agree: int = 2) -> list[np.uint64]:
+    """Masks of all sets of ``agree`` out of limit + agree blocks: fingerprints within ``limit`` bits agree on one at least."""
+    n = limit + agree
     cuts = [64 * i // n for i in range(n + 1)]
     blocks = [((1 << b) - 1) ^ ((1 << a) - 1) for a, b in zip(cuts, cuts[1:], strict=False)]
-    return [np.uint64(x | y) for x, y in combinations(blocks, 2)]
+    return [np.uint64(sum(x)) for x in combinations(blocks, agree)]
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -105,10 +116,10 @@ def gray_rank(x: np.ndarray) -> np.ndarray:
 class GrayForest:
     """A tree for each group over fingerprints sorted by group and Gray rank."""
 
-    def __init__(self, fps: np.ndarray, group: np.ndarray, limit: int):
-        self.fps, self.limit = fps, limit
+    def __init__(self, fps: np.ndarray, group: np.ndarray, limit: int, second: np.ndarray | None = None, guard: int = 0):
+        self.fps, self.limit, self.second, self.guard = fps, limit, second, guard
         n = len(fps)
-        near = (group[1:] == group[:-1]) & (np.bitwise_count(fps[1:] ^ fps[:-1]) <= limit)
+        near = (group[1:] == group[:-1]) & self.linked(np.arange(1, n), np.arange(n - 1))
         at = np.flatnonzero(near)
         self.edges = [np.stack((at, at + 1), 1)]
         fresh = np.ones(n, bool)
@@ -134,6 +145,12 @@ class GrayForest:
         self.below = np.minimum(first[:-1, None] + np.arange(FAN), first[1:, None] - 1)
         self.relabel()
 
+    def linked(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        bits = np.bitwise_count(self.fps[a] ^ self.fps[b])
+        if self.second is None:
+            return bits <= self.limit
+        return (bits <= self.limit) & (bits + np.bitwise_count(self.second[a] ^ self.second[b]) <= self.guard)
+
     def relabel(self) -> None:
         """Each node's component if all below it is in one, else -1."""
         while not np.array_equal(up := self.parent[self.parent], self.parent):
@@ -172,6 +189,8 @@ class GrayForest:
             pair, i, j = np.nonzero(np.bitwise_count(self.fps[x][:, :, None] ^ self.fps[y][:, None, :]) <= self.limit)
             x, y = x[pair, i], y[pair, j]
             far = self.one[0][x] != self.one[0][y]
+            if self.second is not None:
+                far &= self.linked(x, y)
             if far.any():
                 self.join(x[far], y[far])
 
@@ -209,56 +228,57 @@ class GrayForest:
         return np.concatenate(self.edges)
 
 
-def forest_links(fps: np.ndarray, key: np.ndarray, limit: int = LIMIT) -> np.ndarray:
-    """Pairs of fingerprints that span the links inside each key."""
+def forest_links(fps: np.ndarray, key: np.ndarray, limit: int = LIMIT, second: np.ndarray | None = None, guard: int = 0) -> np.ndarray:
+    """Pairs of nodes that span the links inside each key."""
     order = np.lexsort((gray_rank(fps), key))
-    fps, key = fps[order], key[order]
     new = np.ones(len(key), bool)
-    new[1:] = key[1:] != key[:-1]
+    new[1:] = key[order][1:] != key[order][:-1]
     group = np.cumsum(new) - 1
     crowd = np.bincount(group)[group] > 1
     if not crowd.any():
         return np.zeros((0, 2), np.uint64)
-    fps, group = fps[crowd], group[crowd]
-    return fps[GrayForest(fps, group, limit).walk()]
+    own, group = order[crowd], group[crowd]
+    fps, second = fps[own], None if second is None else second[own]
+    return node_of(fps, second)[GrayForest(fps, group, limit, second, guard).walk()]
 
 
-def links(unique: DataFrame, limit: int = LIMIT) -> DataFrame:
-    """(a, b): links that span all pairs of distinct fingerprints within ``limit`` bits."""
+def links(unique: DataFrame, limit: int = LIMIT, agree: int = 2, guard: int | None = None) -> DataFrame:
+    """(a, b): links that span all pairs of distinct nodes (fp, second, node) within ``limit`` bits (and the guard's)."""
     spark = unique.sparkSession
     ship(spark)
-    masks, n = block_masks(limit), width(spark, unique, 1 << 20)
+    masks, n = block_masks(limit, agree), width(spark, unique, 1 << 20)
 
     def deal(batches):
         for batch in batches:
-            fps = batch.column("fp").to_numpy(zero_copy_only=False).view(np.uint64)
-            keys = np.concatenate([mixed((fps & m) ^ mixed(np.full(len(fps), c, np.uint64))) for c, m in enumerate(masks)])
-            fps, to = np.tile(fps, len(masks)), (keys >> np.uint64(33)) % np.uint64(n)
-            order = np.argsort(to, kind="stable")
-            fps, keys, to = fps[order], keys[order], to[order]
-            cuts = np.flatnonzero(np.append(True, to[1:] != to[:-1])) if len(to) else np.zeros(0, int)
-            ends = np.append(cuts[1:], len(to)) if len(to) else cuts
-            yield pa.RecordBatch.from_pydict({"to": pa.array(to[cuts].astype(np.int32), pa.int32()), "fps": pa.array([fps[s:e].tobytes() for s, e in zip(cuts, ends, strict=True)], pa.binary()), "keys": pa.array([keys[s:e].tobytes() for s, e in zip(cuts, ends, strict=True)], pa.binary())})
+            for s in range(0, batch.num_rows, 2000):
+                part = batch.slice(s, 2000)
+                fps = part.column("fp").to_numpy(zero_copy_only=False).view(np.uint64)
+                keys = np.concatenate([mixed((fps & m) ^ mixed(np.full(len(fps), c, np.uint64))) for c, m in enumerate(masks)])
+                to = (keys >> np.uint64(33)) % np.uint64(n)
+                order = np.argsort(to, kind="stable")
+                keys, to, row = keys[order], to[order], order % len(fps)
+                cuts = np.append(np.flatnonzero(np.append(True, to[1:] != to[:-1])), len(to))
+                cols = {"fps": fps[row], "keys": keys} | ({} if guard is None else {"more": part.column("second").to_numpy(zero_copy_only=False).view(np.uint64)[row]})
+                made = {c: pa.array([x[s:e].tobytes() for s, e in zip(cuts, cuts[1:], strict=False)], pa.binary()) for c, x in cols.items()}
+                yield pa.RecordBatch.from_pydict({"to": pa.array(to[cuts[:-1]].astype(np.int32), pa.int32())} | made)
 
     def join(batches):
-        fps, keys = [], []
-        for batch in batches:
-            fps += batch.column("fps").to_pylist()
-            keys += batch.column("keys").to_pylist()
-        if fps:
-            # Distinct (key, fingerprint) pairs by construction: the fingerprints are distinct.
-            found = forest_links(np.frombuffer(b"".join(fps), np.uint64), np.frombuffer(b"".join(keys), np.uint64), limit).view(np.int64)
+        for _, own in by_group(batches):
+            fps, keys, *more = (np.frombuffer(b"".join(x for batch in own for x in batch.column(c).to_pylist()), np.uint64) for c in ("fps", "keys", *(() if guard is None else ("more",))))
+            # Distinct (key, node) pairs by construction: the nodes are distinct.
+            found = forest_links(fps, keys, limit, *(() if guard is None else (more[0], guard))).view(np.int64)
             yield pa.RecordBatch.from_pydict({"a": pa.array(np.ascontiguousarray(found[:, 0])), "b": pa.array(np.ascontiguousarray(found[:, 1]))})
 
-    return unique.select("fp").mapInArrow(deal, "to int, fps binary, keys binary").repartitionById(n, "to").mapInArrow(join, "a long, b long")
+    packs = unique.select("fp", "second").mapInArrow(deal, "to int, fps binary, keys binary" + ", more binary" * (guard is not None))
+    return dealt(packs, n).mapInArrow(join, "a long, b long")
 
 
-def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, limit: int = LIMIT) -> DataFrame:
-    """(doc_id, rk, fp, fingerprint, component_id, root); root is a fingerprint of the component, its own even where all ids are null."""
-    prints = written(fingerprints(docs, shingle), "simhash")
-    unique = written(prints.groupBy("fp").agg(F.min("doc_id").alias("first")), "simhash-unique")
-    roots = components(links(unique, limit))
-    named = written(unique.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select("fp", "first", F.coalesce("root", "fp").alias("root")), "simhash-roots")
+def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, limit: int = LIMIT, agree: int = 2, guard: int | None = None) -> DataFrame:
+    """(doc_id, rk, fp, fingerprint, component_id, root); root is a node of the component, its own even where all ids are null."""
+    prints = written(fingerprints(docs, shingle, guard is not None), "simhash")
+    unique = written(prints.groupBy("node").agg(F.min("doc_id").alias("first"), F.min("fp").alias("fp"), F.min("second").alias("second")), "simhash-unique")
+    roots = components(links(unique, limit, agree, guard))
+    named = written(unique.select("node", "first").join(roots, "node", "left").select("node", "first", F.coalesce("root", "node").alias("root")), "simhash-roots")
     lowest = written(named.groupBy("root").agg(F.min("first").alias("component_id")), "simhash-lowest")
-    by_fp = written(named.join(lowest, "root").select("fp", "component_id", "root"), "simhash-components")
-    return prints.join(by_fp, "fp").select("doc_id", "rk", "fp", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id", "root")
+    by_node = written(named.join(lowest, "root").select("node", "component_id", "root"), "simhash-components")
+    return prints.join(by_node, "node").select("doc_id", "rk", "fp", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id", "root")

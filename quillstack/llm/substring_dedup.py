@@ -34,7 +34,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import by_group, dealt, keyed, raw, ship, spread, width, written
@@ -100,22 +100,25 @@ class Parse:
     """low: names of low symbols; first, last: the certain symbols of a window that starts / ends at a word.
     high: (a, b, start, length) of high symbols that hold a window."""
 
-    def __init__(self, a: np.ndarray, b: np.ndarray, doc: np.ndarray, window: int):
+    def __init__(self, a: np.ndarray, b: np.ndarray, doc: np.ndarray, window: int, edges: bool = True):
         n = len(a)
         s = Symbols(a, b, doc, np.arange(n), np.ones(n, np.int64))
-        first, last = np.arange(n), np.arange(n)
+        first = last = np.zeros(0, np.int32)
         if n:
             s, to = s.runs(0)
-            first, last = to + 1, to - 1  # a run may go on outside
+            if edges:
+                first, last = to + 1, to - 1  # a run may go on outside
             for level in range(LOW):
                 left = s.sides(level)
                 k = len(left)
-                edge = np.append(left, True)
-                first = first + ~edge[np.minimum(first, k)]
-                last = last - (left[np.maximum(last, 0)] & (last >= 0))
+                if edges:
+                    edge = np.append(left, True)
+                    first = first + ~edge[np.minimum(first, k)]
+                    last = last - (left[np.maximum(last, 0)] & (last >= 0))
                 s, to = s.pairs(level, left)
-                first = np.append(to, len(s.a))[np.minimum(first, k)]
-                last = np.where(last >= 0, to[np.maximum(last, 0)], -1)
+                if edges:
+                    first = np.append(to, len(s.a))[np.minimum(first, k)]
+                    last = np.where(last >= 0, to[np.maximum(last, 0)], -1)
         self.low, self.first, self.last = s.a, first.astype(np.int32), last.astype(np.int32)
         found = []
         for level in range(LOW, max(HIGH)):
@@ -170,7 +173,7 @@ class Texts:
 class Group(Texts):
     """Documents, parsed."""
 
-    def __init__(self, packs: list[bytes], window: int):
+    def __init__(self, packs: list[bytes], window: int, edges: bool = True):
         super().__init__(packs)
         self.window = window
         names, counts, held = [np.zeros((0, 2), np.uint64)], [], []
@@ -185,7 +188,7 @@ class Group(Texts):
         self.begin = np.cumsum(self.counts) - self.counts
         self.a, self.b = np.ascontiguousarray(np.concatenate(names).T)
         self.doc = np.repeat(np.arange(len(counts), dtype=np.int32), self.counts)
-        self.parse = Parse(self.a, self.b, self.doc, window)
+        self.parse = Parse(self.a, self.b, self.doc, window, edges)
         self.low, self.low_of, times = np.unique(self.parse.low, return_inverse=True, return_counts=True)
         self.low_many = times > 1
 
@@ -244,35 +247,80 @@ class Group(Texts):
 
 
 # ---------------------------------------------------------------- plan
-QUESTION = pa.schema([("src", pa.int32()), ("kind", pa.int32()), ("a", pa.int64()), ("b", pa.int64()), ("ord", pa.int64()), ("sub", pa.int64()), ("many", pa.bool_()), ("at", pa.int32()), ("data", pa.binary())])
-QUESTIONS = "src int, kind int, a long, b long, ord long, sub long, many boolean, at int, data binary"
+# A question is a row: the bucket of the name it goes to, who asks (group and number there), 32 more bits of the name's
+# first lane, and but for low symbols its second lane, document and place. Numbers of low names that the group has twice are
+# inverted. Low names only rule windows out, so a rare meeting of two of them costs a comparison. A row with a null name is a
+# group's own state on its way to the next pass.
+QUESTION = pa.schema([("to", pa.int32()), ("who", pa.int64()), ("a", pa.int32()), ("more", pa.binary())])
+QUESTIONS = "to int, who long, a int, more binary"
 ROWS = "to int, kind int, at int, data binary"
 
 
-def asked(src: int, kind: int, a: np.ndarray, at: np.ndarray, b=None, place=None, many=None):
+def asked(src: int, buckets: int, a: np.ndarray, at: np.ndarray, b=None, place=None):
     """Questions as record batches."""
+    more = None if b is None else np.stack([x.view(np.int64) for x in (b, *place)], 1)
+    to, who = ((a >> U(33)) % U(buckets)).astype(np.int32), (src << 32) + (at.astype(np.int64) & 0xFFFFFFFF)
+    a = a.astype(np.uint32).view(np.int32)
     for s in range(0, len(a), 50_000):
-        n = len(a[s : s + 50_000])
-        long = lambda x: pa.array(np.zeros(n, np.int64) if x is None else np.ascontiguousarray(x[s : s + 50_000]).view(np.int64))  # noqa: E731, B023
-        flags = pa.array(np.zeros(n, bool) if many is None else many[s : s + 50_000])
-        order, sub = place or (None, None)
-        yield pa.RecordBatch.from_arrays([pa.array(np.full(n, src, np.int32)), pa.array(np.full(n, kind, np.int32)), long(a), long(b), long(order), long(sub), flags, pa.array(at[s : s + 50_000].astype(np.int32)), pa.nulls(n, pa.binary())], schema=QUESTION)
+        n = len(to[s : s + 50_000])
+        kept = pa.nulls(n, pa.binary()) if more is None else pa.FixedSizeBinaryArray.from_buffers(pa.binary(24), n, [None, pa.py_buffer(np.ascontiguousarray(more[s : s + 50_000]))]).cast(pa.binary())
+        yield pa.RecordBatch.from_arrays([pa.array(to[s : s + 50_000]), pa.array(who[s : s + 50_000]), pa.array(a[s : s + 50_000]), kept], schema=QUESTION)
 
 
-def verdicts(questions: DataFrame) -> DataFrame:
-    """What goes back to the groups: low names that another has too (and that are not ``many`` there already), occurrences that are not the first, their own states."""
-    same, place = Window.partitionBy("a", "b", "kind"), F.struct("ord", "sub")
-    told = questions.withColumn("n", F.count(F.lit(1)).over(same)).withColumn("lead", F.min(place).over(same))
-    return told.where(F.when(F.col("kind") == LOWS, (F.col("n") > 1) & ~F.col("many")).when(F.col("kind") == STATE, F.lit(True)).otherwise(F.col("lead") != place)).select(F.col("src").alias("to"), "kind", "at", "data")
+def judged(kind: int):
+    """What goes back to the groups, for the questions of a bucket: low names that another group has too, occurrences that are not the first."""
+
+    def run(batches):
+        for _, own in by_group(batches):
+            low, high = ([], []), ([], [], [])
+            for batch in own:
+                if batch.column("a").null_count:
+                    states = batch.filter(pc.is_null(batch.column("a")))
+                    src = pc.shift_right(states.column("who"), 32).cast(pa.int32())
+                    yield pa.RecordBatch.from_pydict({"to": src, "kind": pa.array([STATE] * len(states), pa.int32()), "at": pa.nulls(len(states), pa.int32()), "data": states.column("more")})
+                    batch = batch.filter(pc.is_valid(batch.column("a")))
+                some = pc.is_valid(batch.column("more")).to_numpy(zero_copy_only=False)
+                who, a = batch.column("who").to_numpy(), batch.column("a").to_numpy()
+                low[0].append(who[~some])
+                low[1].append(a[~some])
+                if some.any():
+                    more = batch.column("more").filter(pa.array(some))
+                    for x, y in zip(high, (who[some], a[some], np.frombuffer(more.buffers()[2], np.int64, 3 * len(more), 8 * 3 * more.offset).reshape(-1, 3)), strict=True):
+                        x.append(y)
+            own.clear()
+            if low[0]:
+                who, a = map(np.concatenate, low)
+                low[0].clear()
+                by = np.argsort(a, kind="stable")
+                same = a[by][1:] == a[by][:-1]
+                again = by[np.append(same, False) | np.append(False, same)] if len(by) else by
+                again = who[again]
+                yield from told(LOWS, again[again.astype(np.int32) >= 0])
+            if high[0]:
+                who, a, more = map(np.concatenate, high)
+                b, order, sub = more.T
+                by = np.lexsort((sub, order, b, a))
+                new = np.ones(len(by), bool)
+                new[1:] = (a[by][1:] != a[by][:-1]) | (b[by][1:] != b[by][:-1])
+                lead = by[new][np.cumsum(new) - 1]
+                yield from told(kind, who[by[(order[by] != order[lead]) | (sub[by] != sub[lead])]])
+
+    return run
+
+
+def told(kind: int, who: np.ndarray):
+    for s in range(0, len(who), 50_000):
+        part = who[s : s + 50_000]
+        yield pa.RecordBatch.from_pydict({"to": pa.array((part >> 32).astype(np.int32)), "kind": pa.array(np.full(len(part), kind, np.int32)), "at": pa.array(part.astype(np.int32)), "data": pa.nulls(len(part), pa.binary())})
 
 
 def read(batches: list[pa.RecordBatch]) -> tuple[list[bytes], dict[int, np.ndarray], bytes | None]:
     """(packs, answers by kind, state) of one group."""
-    table = pa.Table.from_batches(batches)
+    table = pa.Table.from_batches(batches).combine_chunks()
+    batches.clear()
     kind, at = table.column("kind").to_numpy(), table.column("at").fill_null(0).to_numpy()
-    data = table.filter(pc.is_valid(table.column("data")))
-    held = list(zip(data.column("kind").to_pylist(), data.column("data").to_pylist(), strict=True))
-    return [d for k, d in held if k == DOCS], {k: at[kind == k] for k in (LOWS, HIGHS, WINDOWS)}, next((d for k, d in held if k == STATE), None)
+    held = lambda k: table.column("data").filter(pc.equal(table.column("kind"), k)).to_pylist()
+    return held(DOCS), {k: at[kind == k] for k in (LOWS, HIGHS, WINDOWS)}, next(iter(held(STATE)), None)
 
 
 def substring_dedup(docs: DataFrame, window: int = WINDOW, with_text: bool = True, per_group: int = PER_GROUP) -> DataFrame:
@@ -314,27 +362,26 @@ def substring_dedup(docs: DataFrame, window: int = WINDOW, with_text: bool = Tru
 
     def first_pass(batches):
         for me, own in by_group(batches):
-            group = Group(read(own)[0], window)
-            yield from asked(me, LOWS, group.low, np.arange(len(group.low)), many=group.low_many)
+            group = Group(read(own)[0], window, edges=False)
+            at = np.arange(len(group.low))
+            yield from asked(me, n, group.low, np.where(group.low_many, ~at, at))
             a, b, start, _ = group.parse.high
             at = np.flatnonzero(group.firsts(a, b, start))
-            yield from asked(me, HIGHS, a[at], at, b[at], group.place(start[at]))
+            yield from asked(me, n, a[at], at, b[at], group.place(start[at]))
 
     def second_pass(batches):
         for me, own in by_group(batches):
             packs, told, _ = read(own)
-            own.clear()
             group = Group(packs, window)
             packs.clear()
             group.learn_symbols(told[LOWS], told[HIGHS])
             start, a, b = group.windows()
-            yield from asked(me, WINDOWS, a, start, b, group.place(start))
-            yield pa.RecordBatch.from_pylist([{"src": me, "kind": STATE, "a": me, "b": 0, "ord": 0, "sub": 0, "many": False, "at": 0, "data": group.state()}], QUESTION)
+            yield from asked(me, n, a, start, b, group.place(start))
+            yield pa.RecordBatch.from_pylist([{"to": me, "who": me << 32, "a": None, "more": group.state()}], QUESTION)
 
     def third_pass(batches):
         for _, own in by_group(batches):
             packs, told, state = read(own)
-            own.clear()
             group = Texts(packs)
             packs.clear()
             counts = np.fromiter(map(len, group.split()), np.int64, len(group.texts))
@@ -343,8 +390,7 @@ def substring_dedup(docs: DataFrame, window: int = WINDOW, with_text: bool = Tru
             np.add.at(gone, told[WINDOWS], 1)
             np.add.at(gone, told[WINDOWS] + window, -1)
             removed = (np.cumsum(gone)[:-1] > 0) | np.unpackbits(np.frombuffer(zlib.decompress(state), np.uint8), count=total).view(bool)
-            begin = np.cumsum(counts) - counts
-            yield from cleaned(group, counts, begin, removed)
+            yield from cleaned(group, counts, np.cumsum(counts) - counts, removed)
 
     def cleaned(group, counts, begin, removed):
         for at in range(0, len(group.texts), 200):
@@ -360,11 +406,14 @@ def substring_dedup(docs: DataFrame, window: int = WINDOW, with_text: bool = Tru
                 rows += [row | ({"kept": text} if with_text else {})] * group.copies[d].as_py()
             yield pa.RecordBatch.from_pylist(rows, RESULT if with_text else pa.schema(list(RESULT)[:-1]))
 
+    def answered(questions, kind, name):
+        return written(dealt(questions, n).mapInArrow(judged(kind), ROWS), name, release=True)
+
     packs = rows.mapInArrow(pack, ROWS)
-    symbols = written(verdicts(dealt(packs, n, "kind").mapInArrow(first_pass, QUESTIONS)), "substring-symbols")
-    repeats = written(verdicts(dealt(packs.unionByName(symbols), n, "kind").mapInArrow(second_pass, QUESTIONS)), "substring-windows")
+    symbols = answered(dealt(packs, n).mapInArrow(first_pass, QUESTIONS), HIGHS, "substring-symbols")
+    repeats = answered(dealt(packs.unionByName(symbols), n).mapInArrow(second_pass, QUESTIONS), WINDOWS, "substring-windows")
     schema = "doc_id long, rk long, n_words long, n_removed long, kept_sha256 string, removed array<struct<start:long,end:long>>" + ", kept string" * with_text
-    return dealt(packs.unionByName(repeats), n, "kind").mapInArrow(third_pass, schema)
+    return dealt(packs.unionByName(repeats), n).mapInArrow(third_pass, schema)
 
 
 RESULT = pa.schema([("doc_id", pa.int64()), ("rk", pa.int64()), ("n_words", pa.int64()), ("n_removed", pa.int64()), ("kept_sha256", pa.string()), ("removed", pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))), ("kept", pa.string())])

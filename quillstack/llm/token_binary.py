@@ -6,8 +6,9 @@ keeps its minimum, packs the differences at the width that holds ``PERCENTILE``
 the rest as exceptions (position, high bits). Shards are rows of a Parquet table in the shared
 folder, so any store that Spark can write serves.
 
-Null text: no ids but the end id. Null doc_id sorts first. Rows with equal doc_id are ordered by
-text (null first). An empty table gives no rows.
+Null text: no ids but the end id. Null doc_id sorts first. Rows with equal doc_id are ordered by a
+hash of their text, so that ranges can part them; thousands of copies of one row are dealt to several tasks.
+An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -24,7 +25,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import raw, ship, slices, width, written
+from .common import raw, ship, slices, spread, width, written
 
 BLOCK, PERCENTILE, END_ID = 128, 0.9, 2
 SHARD_TOKENS = 1 << 20
@@ -211,7 +212,9 @@ def write_shards(docs: DataFrame, vocabulary: str, end_id: int = END_ID, id_col:
     spark = docs.sparkSession
     ship(spark)
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    dealt = rows.repartitionByRange(width(spark, docs), "doc_id").sortWithinPartitions(F.col("doc_id").asc_nulls_first(), F.col("text").asc_nulls_first())
+    rows = spread(rows.withColumn("rk", F.xxhash64("doc_id", "text")), "doc_id", "rk")
+    order = (F.col("doc_id").asc_nulls_first(), "rk", "copy")
+    dealt = rows.repartitionByRange(width(spark, docs), *order).sortWithinPartitions(*order).select("doc_id", "text", "copies")
 
     def run(batches):
         enc, part = encoder(vocabulary), TaskContext.get().partitionId()
@@ -226,6 +229,8 @@ def write_shards(docs: DataFrame, vocabulary: str, end_id: int = END_ID, id_col:
 
         for batch in batches:
             texts, doc_ids = raw(batch, "text"), batch.column("doc_id").to_pylist()
+            if max(copies := batch.column("copies").to_pylist(), default=1) > 1:
+                texts, doc_ids = ([x for x, n in zip(xs, copies, strict=True) for _ in range(n)] for xs in (texts, doc_ids))
             for a, b in slices(texts):
                 got, n = enc.encode(texts[a:b], end_id)
                 names += doc_ids[a:b]
@@ -252,11 +257,11 @@ def read_tokens(shards: DataFrame) -> DataFrame:
                 crc = [zlib.crc32(data[e - n : e].tobytes()) for e, n in zip(ends, counts, strict=True)]
                 yield pa.RecordBatch.from_pydict({"part": pa.array([part] * len(names), pa.int32()), "doc_id": pa.array(names, pa.int64()), "own": pa.array(base + ends - counts, pa.int64()), "n_tokens": pa.array(counts, pa.int64()), "ids_crc32": pa.array(crc, pa.int64())})
 
-    # One row for each range of documents: as many as the exchange had partitions, never more.
+    # One row for each range of documents: as many as the exchange had partitions, never more. Written, so that the join knows its size.
     totals = shards.groupBy("part").agg(F.sum("n_tokens").alias("n"))
-    before = totals.select("part", (F.sum("n").over(Window.orderBy("part")) - F.col("n")).alias("before"))
+    before = written(totals.select("part", (F.sum("n").over(Window.orderBy("part")) - F.col("n")).alias("before")), "token-ranges")
     found = shards.select("part", "content").mapInArrow(run, "part int, doc_id long, own long, n_tokens long, ids_crc32 long")
-    return found.join(F.broadcast(before), "part").select("doc_id", (F.col("before") + F.col("own")).alias("start"), "n_tokens", "ids_crc32")
+    return found.join(before, "part").select("doc_id", (F.col("before") + F.col("own")).alias("start"), "n_tokens", "ids_crc32")
 
 
 def token_output(docs: DataFrame, vocabulary: str, end_id: int = END_ID) -> DataFrame:

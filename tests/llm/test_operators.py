@@ -94,17 +94,23 @@ def test_forward_of_frame_of_reference(seed):
     assert read_shard(shard_bytes(7, [1, None, -5], counts, ids))[:2] == (7, [1, None, -5])
 
 
-def test_token_output(docs, none):
+@pytest.mark.parametrize("copies", (1000, 3))
+def test_token_output(docs, none, monkeypatch, copies):
+    from pyspark.sql import functions as F
+
     from quillstack.llm.token_binary import token_output
     from tokenizers import Tokenizer
 
     path = public_tokenizers.path("word_bpe_49k.json")
+    monkeypatch.setattr("quillstack.llm.common.COPIES", copies)
+    frame_, rows = docs.unionByName(docs.where("doc_id = 1005").withColumn("n", F.explode(F.sequence(F.lit(1), F.lit(10)))).drop("n")), [*ROWS, *[r for r in ROWS if r[0] == 1005] * 10]
+    rk = {(r[0], r[1]): r[2] for r in frame_.select("doc_id", "text", F.xxhash64("doc_id", "text")).distinct().collect()}
     of, want, start = Tokenizer.from_file(path), [], 0
-    for r in sorted(ROWS, key=lambda r: (order(r[0]), r[1] is not None, r[1] or "")):
+    for r in sorted(rows, key=lambda r: (order(r[0]), rk[r[0], r[1]])):
         ids = np.array(of.encode(r[1] or "", add_special_tokens=False).ids + [2], "<u4")
         want.append((r[0], start, len(ids), zlib.crc32(ids.tobytes())))
         start += len(ids)
-    got = sorted(map(tuple, token_output(docs, path).collect()), key=lambda r: r[1])
+    got = sorted(map(tuple, token_output(frame_, path).collect()), key=lambda r: r[1])
     assert got == want
     assert token_output(none, path).count() == 0
 
@@ -196,6 +202,41 @@ def test_gray_forest_spans_all_links():
     assert [find(root, i) for i in range(len(fps))] == [find(brute, i) for i in range(len(fps))]
 
 
+def test_guarded_links_equal_brute_force(spark):
+    from quillstack.llm.simhash import majorities, mixed, near_duplicates, shingle_hashes
+
+    import random
+
+    r = random.Random(12)
+    base = [[f"w{r.randint(0, 5000)}" for _ in range(r.choice((12, 60, 150)))] for _ in range(25)]
+    texts = []
+    for ws in base:
+        for _ in range(6):
+            texts.append(" ".join(w if r.random() > 0.015 else f"z{r.randint(0, 99)}" for w in ws))
+    rows = [(i, t, "en", "s", "", 0) for i, t in enumerate(texts)]
+    one, two = [], []
+    for t in texts:
+        h = np.array(shingle_hashes(t.encode(), 5), np.uint64)
+        one.append(int(majorities(h, np.array([len(h)]))[0]))
+        two.append(int(majorities(mixed(h), np.array([len(h)]))[0]))
+    root = list(range(len(texts)))
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    alone = 0
+    for a in range(len(texts)):
+        for b in range(a):
+            bits = (one[a] ^ one[b]).bit_count()
+            if bits <= 6 and bits + (two[a] ^ two[b]).bit_count() <= 14:
+                root[max(find(a), find(b))] = min(find(a), find(b))
+            alone += bits <= 6 < bits + (two[a] ^ two[b]).bit_count() - 8
+    got = {x.doc_id: x.component_id for x in near_duplicates(frame(spark, rows), shingle=5, limit=6, agree=3, guard=14).collect()}
+    assert got == {i: find(i) for i in range(len(texts))} and alone and 25 < len(set(got.values())) < 150
+
+
 def test_components_of_long_chains(spark):
     from quillstack.llm.components import components
 
@@ -439,6 +480,138 @@ def test_jpeg_round_trip_and_features(docs, none):
     assert len(got) == len(ROWS) and read_payloads(store(none)).count() == 0
 
 
+def slow_decode(data):
+    """Another progressive decoder, a bit and a block at a time: (width, height, {component: (h, v, table, blocks by row)})."""
+    zigzag = sorted(((y, x) for y in range(8) for x in range(8)), key=lambda p: (sum(p), p[0] if sum(p) % 2 else p[1]))
+    quant, codes, comps, every, at = {}, {}, {}, 0, 2
+    while data[at + 1] != 0xD9:
+        marker, n = data[at + 1], int.from_bytes(data[at + 2 : at + 4])
+        body, at = data[at + 4 : at + 2 + n], at + 2 + n
+        if marker == 0xDB:
+            quant[body[0] & 15] = list(body[1:65])
+        elif marker == 0xDD:
+            every = int.from_bytes(body)
+        elif marker == 0xC4:
+            while body:
+                code, k, table = 0, 17, {}
+                for length in range(1, 17):
+                    for _ in range(body[length]):
+                        table[length, code] = body[k]
+                        code, k = code + 1, k + 1
+                    code <<= 1
+                codes[body[0]], body = table, body[k:]
+        elif marker == 0xC2:
+            high, wide = int.from_bytes(body[1:3]), int.from_bytes(body[3:5])
+            for k in range(body[5]):
+                i, hv, q = body[6 + 3 * k : 9 + 3 * k]
+                comps[i] = [hv >> 4, hv & 15, q, None]
+            hm, vm = max(c[0] for c in comps.values()), max(c[1] for c in comps.values())
+            across, down = -(-wide // (8 * hm)), -(-high // (8 * vm))
+            for c in comps.values():
+                c[3] = [[[0] * 64 for _ in range(across * c[0])] for _ in range(down * c[1])]
+        elif marker == 0xDA:
+            own = [(body[1 + 2 * k], body[2 + 2 * k]) for k in range(body[0])]
+            first, last, approx = body[-3:]
+            ah, al, bits = approx >> 4, approx & 15, []
+            parts = [b""]
+            while not (data[at] == 0xFF and data[at + 1] not in (0, *range(0xD0, 0xD8))):
+                if data[at] == 0xFF and data[at + 1]:
+                    parts.append(b"")
+                    at += 2
+                else:
+                    parts[-1] += data[at : at + 1]
+                    at += 1 + (data[at] == 0xFF)
+            if len(own) > 1:
+                units = [[(i, t, comps[i][1] * y + v, comps[i][0] * x + h) for i, t in own for v in range(comps[i][1]) for h in range(comps[i][0])] for y in range(down) for x in range(across)]
+            else:
+                (i, t) = own[0]
+                units = [[(i, t, y, x)] for y in range(-(-(-(-high * comps[i][1] // vm)) // 8)) for x in range(-(-(-(-wide * comps[i][0] // hm)) // 8))]
+            for p, part in enumerate(parts):
+                bits = iter("".join(f"{b:08b}" for b in part))
+                take = lambda n, bits=bits: int("0" + "".join(next(bits) for _ in range(n)), 2)
+
+                def symbol(table, take=take):
+                    code = length = 0
+                    while (length, code) not in table:
+                        code, length = code << 1 | take(1), length + 1
+                    return table[length, code]
+
+                signed = lambda n, take=take: (lambda v: v if n == 0 or v >> (n - 1) else v - (1 << n) + 1)(take(n))
+                before, run = dict.fromkeys(comps, 0), 0
+                for unit in units[p * (every or len(units)) : (p + 1) * (every or len(units))]:
+                    for i, t, y, x in unit:
+                        block = comps[i][3][y][x]
+                        if first == 0:
+                            if ah:
+                                block[0] |= take(1) << al
+                            else:
+                                before[i] += signed(symbol(codes[t >> 4]))
+                                block[0] = before[i] << al
+                            continue
+                        k = first
+                        while k <= last:
+                            if run:
+                                zeros, value = 64, 0
+                            else:
+                                s = symbol(codes[16 + (t & 15)])
+                                zeros, size = s >> 4, s & 15
+                                if size == 0 and zeros < 15:
+                                    run = (1 << zeros) + take(zeros)
+                                    zeros, value = 64, 0
+                                else:
+                                    value = 0 if size == 0 else (1 if take(1) else -1) if ah else signed(size)
+                            while k <= last:
+                                if ah and block[k]:
+                                    if take(1):
+                                        block[k] += (1 << al) if block[k] > 0 else -(1 << al)
+                                elif zeros == 0:
+                                    if value:
+                                        block[k] = value << al if value > 0 else -(-value << al)
+                                    k += 1
+                                    break
+                                else:
+                                    zeros -= 1
+                                k += 1
+                        run -= run > 0
+    return wide, high, {i: (h, v, [[(zigzag, [a * b for a, b in zip(block, quant[q], strict=True)]) for block in row] for row in rows]) for i, (h, v, q, rows) in comps.items()}
+
+
+def test_jpeg_tensors_equal_another_decoder():
+    from quillstack.llm.jpeg import encode, tensors
+    from quillstack.llm.media import padded
+
+    u, x = np.arange(8)[:, None], np.arange(8)[None, :]
+    c = np.where(u == 0, np.sqrt(1 / 8), 0.5) * np.cos((2 * x + 1) * u * np.pi / 16)
+    texts = [(r[1] or "").encode() for r in ROWS[:6]] + [bytes(range(256)) * 9, b"", b"x"]
+    files = encode([(padded(t), len(t)) for t in texts])
+    for data, (im, _, tensor) in zip(files, tensors(files), strict=True):
+        wide, high, comps = slow_decode(data)
+        planes = []
+        for h, v, rows in comps.values():
+            grid = np.zeros((8 * len(rows), 8 * len(rows[0])))
+            for y, row in enumerate(rows):
+                for k, (zigzag, block) in enumerate(row):
+                    freq = np.zeros((8, 8))
+                    for p, value in zip(zigzag, block, strict=True):
+                        freq[p] = value
+                    grid[8 * y : 8 * y + 8, 8 * k : 8 * k + 8] = np.clip(np.rint(c.T @ freq @ c + 128), 0, 255)
+            planes.append(grid.repeat(2 // v, 0).repeat(2 // h, 1)[:high, :wide])
+        luma, cb, cr = planes
+        want = np.stack([luma + 1.402 * (cr - 128), luma - 0.344136 * (cb - 128) - 0.714136 * (cr - 128), luma + 1.772 * (cb - 128)], 2).clip(0, 255)
+        assert tensor.shape == (high, wide, 3) and np.abs(tensor - want).max() <= 3.5 and np.abs(tensor - want).mean() < 0.6
+
+
+def test_stored_tensors_give_the_features(docs):
+    from quillstack.llm.media import read_payloads, store, store_tensors
+
+    media = store(docs)
+    kept = {(r.doc_id, r.rk): r for r in store_tensors(media).collect()}
+    for r in read_payloads(media).collect():
+        t = kept[r.doc_id, r.rk]
+        rgb = np.frombuffer(t.tensor, np.uint8).reshape(t.height, t.width, 3)
+        assert r.feature == f"{t.width}x{t.height} " + ",".join(map(str, rgb.sum((0, 1), dtype=np.int64)))
+
+
 def test_jpeg_decodes_bands_runs_and_refinement():
     """A file written by hand: two bands, end-of-block runs, zero runs, new coefficients in a refining scan."""
     from quillstack.llm.jpeg import DQT, EOI, SOF2, SOI, DHT, decode, samples, scan_head, segment, table
@@ -535,11 +708,13 @@ def test_warc(spark):
     assert read_archive(write_archive(spark.createDataFrame([], "page_id long, url string, html string"))).count() == 0
 
 
-def test_warc_records_and_many_copies(spark):
+@pytest.mark.parametrize("copies", (1000, 5000))
+def test_warc_records_and_many_copies(spark, monkeypatch, copies):
     import gzip
 
     from quillstack.llm.warc import read_archive, write_archive
 
+    monkeypatch.setattr("quillstack.llm.common.COPIES", copies)
     # Incompressible pages, so that there are many chunks and files; one row 2,500 times; one page of 3 MB.
     r = np.random.default_rng(2)
     rows = [(i, f"http://x{i % 5}.org/{i}", r.bytes(30_000).hex()) for i in range(400)] + [(7000, "http://x1.org/copy", "copied")] * 2500 + [(None, None, r.bytes(1_500_000).hex())]
