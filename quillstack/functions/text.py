@@ -109,13 +109,20 @@ def without_stamp(text: Column) -> Column:
     return F.regexp_replace(text, r"(?m)^(\s+at: ).*$", "$1X")
 
 
+def bound(value: Column, use) -> Column:
+    """``use`` of a value that is computed once, however often it is named there."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def markdown_table(rows: Column) -> Column:
     """An array of rows of cells as a table: empty rows dropped, cells on one line, rows filled up."""
     full = F.filter(rows, lambda r: F.exists(r, lambda c: F.coalesce(c, F.lit("")) != ""))
     clean = F.transform(full, lambda r: F.transform(r, lambda c: F.replace(collapsed(F.coalesce(c, F.lit(""))), F.lit("|"), F.lit("\\|"))))
-    wide = F.array_max(F.transform(clean, F.size))
-    even = F.transform(clean, lambda r: F.concat(r, F.array_repeat(F.lit(""), wide - F.size(r))))
-    text = F.transform(even, lambda r: F.concat(F.lit("| "), F.array_join(r, " | "), F.lit(" |")))
-    rule = F.concat(F.lit("|"), F.repeat(F.lit("---|"), wide))
-    lines = F.concat(F.slice(text, 1, 1), F.array(rule), F.slice(text, F.lit(2), F.greatest(F.size(text) - 1, F.lit(0))))
-    return F.when(F.size(full) > 0, F.array_join(lines, "\n")).otherwise(F.lit(""))
+
+    def table(cells: Column, wide: Column) -> Column:
+        filled = F.transform(cells, lambda r: F.concat(F.lit("| "), F.array_join(F.concat(r, F.array_repeat(F.lit(""), wide - F.size(r))), " | "), F.lit(" |")))
+        rule = F.concat(F.lit("|"), F.repeat(F.lit("---|"), wide))
+        return bound(filled, lambda text: F.array_join(F.concat(F.slice(text, 1, 1), F.array(rule), F.slice(text, F.lit(2), F.size(text))), "\n"))
+
+    made = bound(clean, lambda cells: F.when(F.size(cells) > 0, bound(F.array_max(F.transform(cells, F.size)), lambda wide: table(cells, wide))))
+    return F.coalesce(made, F.lit(""))

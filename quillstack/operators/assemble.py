@@ -50,8 +50,9 @@ class Assembled:
 class Assembler:
     """One rule file with its overrides over the documents that follow it."""
 
-    def __init__(self, parsed: Parsed, rules: Rules, overrides: Overrides | None = None, status: str = "draft"):
-        self.parsed, self.rules, self.over, self.status = parsed, rules, overrides or Overrides(), status
+    def __init__(self, parsed: Parsed, rules: Rules, overrides: Overrides | None = None, status: str = "draft", tables: dict[str, DataFrame] | None = None):
+        """tables: rows of definition tables (doc_id, def_idx, term, row, text) by the definitions' file."""
+        self.parsed, self.rules, self.over, self.status, self.tables = parsed, rules, overrides or Overrides(), status, tables or {}
         self._maps: DataFrame | None = None
         last = Window.partitionBy("doc_id", "key")
         # Of units that share a key the last one counts, in the place of the first.
@@ -129,6 +130,10 @@ class Assembler:
     def status_of(self, key: Column) -> Column:
         return lookup(self.over.status, key, F.lit(self.status))
 
+    def heading(self) -> Column:
+        own = F.try_element_at("headings", F.lit(self.rules.heading_level)) if self.rules.heading_level else F.lit(None).cast("string")
+        return lookup({k: v for k, v in self.over.headings.items() if v}, F.col("key"), own)
+
     def place(self) -> list[Column]:
         return [item(f, F.try_element_at("headings", F.lit(f)), "str") for f in self.rules.fields]
 
@@ -145,8 +150,7 @@ class Assembler:
         parts = F.split("key", "[.]")
         prefixes = self.units.select("doc_id", F.explode(F.when(F.size(parts) > 1, F.transform(F.sequence(F.lit(1), F.size(parts) - 1), lambda n: F.array_join(F.slice(parts, F.lit(1), n), ".")))).alias("key")).distinct().withColumn("_split", F.lit(True))
         units = units.join(lines, ["doc_id", "idx"], "left").join(prefixes, ["doc_id", "key"], "left")
-        heading = lookup({k: v for k, v in self.over.headings.items() if v}, F.col("key"), F.try_element_at("headings", F.lit(self.rules.heading_level)) if self.rules.heading_level else F.lit(None).cast("string"))
-        heading = F.coalesce(heading, F.lit(""))
+        heading = F.coalesce(self.heading(), F.lit(""))
         value = lambda n: heading if n == "heading" else F.try_element_at("fields", F.lit(n))
 
         def title(p):
@@ -195,7 +199,8 @@ class Assembler:
             docs = own.select("doc_id", self.position().alias("position"))
         else:
             lines = self.with_links(rows.where("text is not null").select("doc_id", "def_idx", "term", F.col("row").alias("pos"), "text", F.lit("def").alias("zone")).withColumn("name", file), raw=True)
-            docs = rows.select("doc_id").distinct().withColumn("position", F.array().cast(POSITION))
+            # A document without the table still has the concept.
+            docs = rows.select("doc_id").unionByName(self.units.select("doc_id")).distinct().withColumn("position", F.array().cast(POSITION))
         blocks = lines.groupBy("doc_id", "zone", "def_idx").agg(F.max("term").alias("term"), F.array_sort(F.collect_list(F.struct("pos", "md"))).alias("l"))
         if rows is not None:  # terms without text still have a heading
             blocks = rows.groupBy("doc_id", "def_idx").agg(F.max("term").alias("term")).join(blocks.drop("term"), ["doc_id", "def_idx"], "left").withColumn("zone", F.lit("def"))
@@ -226,8 +231,26 @@ class Assembler:
         missing += [(key_of(d["unit"]), f"definitions unit {d['unit']} not found") for d in self.rules.definitions if d.get("unit") is not None and d.get("form") != "table"]
         if missing:
             said.append(keyed(missing).join(self.units, ["doc_id", "key"], "left_anti").select("doc_id", F.lit("assemble").alias("stage"), "message"))
+        tables = [(d["file"], f"{d['file']}: no table found") for d in self.rules.definitions if d["file"] in self.tables]
+        for file, message in tables:
+            said.append(docs.join(self.tables[file], "doc_id", "left_anti").select("doc_id", F.lit("assemble").alias("stage"), F.lit(message).alias("message")))
+        bare = [i for i, p in enumerate(self.rules.patterns) if p.plain_title is None and "{heading}" in p.title]
+        if bare:
+            used = [key_of(d["unit"]) for d in self.rules.definitions if d.get("unit") is not None] + [key_of(u) for g in self.over.groups for u in g["units"]]
+            own = self.units.where(F.col("pattern_id").isin(bare) & ~F.col("key").isin(used or [""]) & (F.coalesce(self.heading(), F.lit("")) == ""))
+            said.append(own.select("doc_id", F.lit("assemble").alias("stage"), F.concat(F.lit("unit "), "key", F.lit(" has no heading")).alias("message")))
         extra = self.over.definitions.get("defined-elsewhere") or []
         if extra:
+            for d in self.rules.definitions:
+                if d.get("unit") is None and d["file"] not in self.tables:
+                    continue
+                if d["file"] in self.tables:
+                    known = self.tables[d["file"]].select("doc_id", F.lower("term").alias("term")).distinct()
+                else:
+                    own = self.units.where(F.col("key") == key_of(d["unit"])).select("doc_id", "idx")
+                    known = split_definitions(self.texts.join(own, ["doc_id", "idx"], "left_semi"), d["term"], d.get("ends-at")).where("term is not null").select("doc_id", F.lower("term").alias("term")).distinct()
+                twice = keyed([(e["term"].lower(), f"defined-elsewhere: {e['term']!r} is already in the definitions clause") for e in extra]).withColumnRenamed("key", "term")
+                said.append(twice.join(known, ["doc_id", "term"], "left_semi").select("doc_id", F.lit("assemble").alias("stage"), "message"))
             lost = [(key_of(e["unit"]), f"defined-elsewhere: unit {e['unit']} for {e['term']!r} not found") for e in extra]
             said.append(keyed(lost).join(self.targets(), ["doc_id", "key"], "left_anti").select("doc_id", F.lit("assemble").alias("stage"), "message"))
             words = self.texts.groupBy("doc_id", "key").agg(F.lower(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("pos", "text"))), lambda x: x["text"]), " ")).alias("all"))
@@ -238,11 +261,11 @@ class Assembler:
         said.append(blank.select("doc_id", F.lit("assemble").alias("stage"), F.concat("n", F.lit(" concepts have no description (first: "), F.array_join("first", ", "), F.lit(")")).alias("message")))
         return reduce(DataFrame.unionByName, said)
 
-    def assembled(self, tables: dict[str, DataFrame] | None = None) -> DataFrame:
+    def assembled(self) -> DataFrame:
         """All concepts; seq: definitions, then groups, then the units that are left."""
         parts, rank = [], -1_000_000
         for d in self.rules.definitions:
-            rows = (tables or {}).get(d["file"])
+            rows = self.tables.get(d["file"])
             if d.get("form") == "table" and rows is None:
                 continue
             parts.append(self.definitions(d, rank, rows))

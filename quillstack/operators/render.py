@@ -5,7 +5,7 @@ from __future__ import annotations
 from functools import reduce
 
 import yaml
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .. import __version__
@@ -39,14 +39,27 @@ def source_entry(doc: dict) -> dict:
     return {k: v for k, v in entry.items() if v is not None}
 
 
+def dumped(value) -> str:
+    return yaml.safe_dump(value, sort_keys=False, allow_unicode=True, width=10_000)
+
+
 def raw(name: str, value) -> Column:
-    return item(name, F.lit(yaml.safe_dump(value, sort_keys=False, allow_unicode=True, width=10_000)), "raw")
+    return item(name, value if isinstance(value, Column) else F.lit(dumped(value)), "raw")
+
+
+DOCUMENTS = "doc_id string, base string, concept_type string, resource string, sources string, title string"
+
+
+def document_rows(spark: SparkSession, docs: list[dict]) -> DataFrame:
+    """Manifest entries as rows: what their concepts' files say about the document."""
+    rows = [(d["id"], (d.get("bundle-path") or "").strip("/") or None, d.get("concept-type"), d.get("resource"), dumped([source_entry(d)]), d.get("description") or d["id"]) for d in docs]
+    return spark.createDataFrame(rows, DOCUMENTS)
 
 
-def frontmatter(doc: dict) -> Column:
+def frontmatter() -> Column:
     """Ordered fields of a concept's file: type, title, description, resource, position, sources, generated, status."""
-    head = [item("type", F.coalesce("type", F.lit(doc.get("concept-type"))), "str"), item("title", F.col("title"), "str"), item("description", strip(F.col("description")), "str"), item("resource", F.lit(doc.get("resource")), "str")]
-    tail = [raw("sources", [source_entry(doc)]), raw("generated", {"by": TOOL, "at": STAMP}), item("status", F.col("status"), "str")]
+    head = [item("type", F.coalesce("type", "concept_type"), "str"), item("title", F.col("title"), "str"), item("description", strip(F.col("description")), "str"), item("resource", F.col("_resource"), "str")]
+    tail = [raw("sources", F.col("sources")), raw("generated", {"by": TOOL, "at": STAMP}), item("status", F.col("status"), "str")]
     return kept(F.concat(F.array(*head), F.col("position").cast(FIELDS), F.array(*tail)))
 
 
@@ -54,11 +67,13 @@ def blocks(title: Column, body: Column) -> Column:
     return F.array_join(F.concat(F.array(F.concat(F.lit("# "), title)), body), "\n\n")
 
 
-def concept_files(concepts: DataFrame, doc: dict) -> DataFrame:
-    """(path, content, ord, fields): references become paths from the top of the bundle."""
-    base = doc["bundle-path"].strip("/")
-    body = F.regexp_replace(blocks(F.col("title"), F.col("body")), REFERENCE, f"](/{base}/$1.md)")
-    return concepts.withColumn("fields", frontmatter(doc)).select(F.concat(F.lit(base + "/"), "name", F.lit(".md")).alias("path"), rendered(F.col("fields"), body).alias("content"), "ord", "fields")
+def concept_files(concepts: DataFrame, docs: DataFrame) -> DataFrame:
+    """(doc_id, path, content, ord, fields) of concepts in documents with a place in the bundle: references become paths from its top."""
+    of = docs.where("base is not null").select("doc_id", "base", "concept_type", F.col("resource").alias("_resource"), "sources")
+    made = concepts.join(of, "doc_id").withColumn("fields", frontmatter())
+    safe = F.regexp_replace("base", r"([\\\\$])", r"\\$1")
+    body = F.regexp_replace(blocks(F.col("title"), F.col("body")), F.lit(REFERENCE), F.concat(F.lit("](/"), safe, F.lit("/$1.md)")))
+    return made.select("doc_id", F.concat("base", F.lit("/"), "name", F.lit(".md")).alias("path"), rendered(F.col("fields"), body).alias("content"), "ord", "fields")
 
 
 def legislation_files(concepts: DataFrame) -> DataFrame:
@@ -81,16 +96,12 @@ def sections(concepts: DataFrame) -> DataFrame:
     return concepts.select("doc_id", "seq", F.col("name").alias("anchor"), F.array_join(F.filter(parts, lambda p: p != ""), "\n\n").alias("content"))
 
 
-def single_files(made: DataFrame, titles: dict[str, dict], order: str = "seq") -> DataFrame:
-    """(doc_id, content): a document's sections in assembly order under its frontmatter; titles: doc_id -> {title, sources, description}."""
+def single_files(made: DataFrame, heads: DataFrame, order: str = "seq") -> DataFrame:
+    """(doc_id, content): a document's sections in assembly order under its frontmatter; heads(doc_id, title, description, sources as YAML or null)."""
     text = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(F.col(order).alias("o"), "anchor", "content"))), lambda x: x["content"]), "\n\n")
-    files = made.groupBy("doc_id").agg(text.alias("body"))
-    head = F.array().cast(FIELDS)
-    for doc, t in titles.items():
-        own = [item("title", F.lit(t["title"]), "str"), item("description", F.lit(t.get("description")), "str")]
-        own += [raw("sources", t["sources"])] if t.get("sources") is not None else []
-        head = F.when(F.col("doc_id") == doc, kept(F.array(*own, item("generated_by", F.lit(TOOL), "str")))).otherwise(head)
-    return files.withColumn("fields", head).select("doc_id", rendered(F.col("fields"), F.col("body")).alias("content"))
+    fields = kept(F.array(item("title", F.col("title"), "str"), item("description", F.col("description"), "str"), raw("sources", F.col("sources")), item("generated_by", F.lit(TOOL), "str")))
+    head = F.when(F.col("title").isNotNull(), fields).otherwise(F.array().cast(FIELDS))
+    return made.groupBy("doc_id").agg(text.alias("body")).join(heads, "doc_id", "left").withColumn("fields", head).select("doc_id", rendered(F.col("fields"), F.col("body")).alias("content"))
 
 
 def authored_sections(files: DataFrame) -> tuple[DataFrame, DataFrame]:

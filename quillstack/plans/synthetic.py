@@ -1,18 +1,23 @@
 """Governing documents made from the star schema, in SQL that Spark and other engines read alike.
 
-A region is a document: ``PART n`` and its title, then for each nation a heading in capitals, and for
-each customer a numbered article that refers to another article of the document; every seventh
-article has a heading of its own. Lines carry page, bold and size.
+The customers of a region are the articles of its documents, DOC_SIZE customer keys a document, so documents
+grow in number with the data: ``PART n`` and its title, then for each nation a heading in capitals, and for each
+customer a numbered article that refers to another article of the document; every seventh article has a
+heading of its own. Lines carry page, bold and size.
 """
 
 from __future__ import annotations
 
-LINES_SQL = """
-with article as (
+DOC_SIZE = 300
+
+LINES_SQL = f"""
+with placed as (
+  select n_regionkey + 5 * (c_custkey / {DOC_SIZE}) as n_regionkey, n_nationkey, n_name, c_custkey, c_mktsegment from customer join nation on c_nationkey = n_nationkey
+), article as (
   select n_regionkey as region, n_nationkey as nation, n_name, c_custkey as c, c_mktsegment as seg,
          cast(row_number() over (partition by n_regionkey order by n_nationkey, c_custkey) as int) as k,
-         row_number() over (partition by n_nationkey order by c_custkey) as in_nation
-  from customer join nation on c_nationkey = n_nationkey
+         row_number() over (partition by n_regionkey, n_nationkey order by c_custkey) as in_nation
+  from placed
 ), line as (
   select region, k, 0 as part, 'PART ' || cast(region + 1 as varchar(9)) as text, true as bold from article where k = 1
   union all select region, k, 1, 'RULES OF ' || cast(region as varchar(9)) || ' TITLE', true from article where k = 1
@@ -31,11 +36,11 @@ from line
 
 def spark_sql(text: str) -> str:
     """Whole-number division as Spark spells it."""
-    return text.replace("k / 2 + 1", "k div 2 + 1").replace("(k - 1) / 5 + 1", "(k - 1) div 5 + 1").replace("varchar(9)", "string")
+    return text.replace("k / 2 + 1", "k div 2 + 1").replace("(k - 1) / 5 + 1", "(k - 1) div 5 + 1").replace(f"c_custkey / {DOC_SIZE}", f"c_custkey div {DOC_SIZE}").replace("varchar(9)", "string")
 
 
 def duck_sql(text: str = LINES_SQL) -> str:
-    return text.replace("k / 2 + 1", "k // 2 + 1").replace("(k - 1) / 5 + 1", "(k - 1) // 5 + 1")
+    return text.replace("k / 2 + 1", "k // 2 + 1").replace("(k - 1) / 5 + 1", "(k - 1) // 5 + 1").replace(f"c_custkey / {DOC_SIZE}", f"c_custkey // {DOC_SIZE}")
 
 
 RULES = {

@@ -138,13 +138,13 @@ def definitions_split(spark, sf_dir):
     return definitions.split_definitions(lines, r'^"(?P<term>[^"]+)"', r"^\(\d+\)\s").select("doc_id", "pos", "zone", "term")
 
 
-@query("""with r as (select p_size as d, p_partkey as k, case when p_partkey % 3 = 0 then p_name else '' end as t, p_type as v from part where p_type <> 'SMALL' or p_partkey % 3 <> 0),
+@query("""with r as (select p_size as d, p_partkey as k, case when p_partkey % 3 = 0 then p_name else '' end as t, p_type as v from part),
  g as (select *, sum(case when t <> '' then 1 else 0 end) over (partition by d order by k) as n from r)
  select cast(d as varchar) as doc_id, cast(n as int) as def_idx, cast(k as int) as row, max(case when t <> '' then t end) over (partition by d, n) as term, v as text from g where n > 0""")
 def definition_table(spark, sf_dir):
     """Two-column rows: an empty term cell continues the definition above."""
     k = F.col("p_partkey")
-    rows = table(spark, sf_dir, "part").where((F.col("p_type") != "SMALL") | (k % 3 != 0)).select(F.col("p_size").cast("string").alias("doc_id"), k.cast("int").alias("row"), F.array(F.when(k % 3 == 0, F.concat(F.lit("“"), "p_name", F.lit("”"))).otherwise(""), "p_type").alias("cells"))
+    rows = table(spark, sf_dir, "part").select(F.col("p_size").cast("string").alias("doc_id"), k.cast("int").alias("row"), F.array(F.when(k % 3 == 0, F.concat(F.lit("“"), "p_name", F.lit("”"))).otherwise(""), "p_type").alias("cells"))
     return definitions.table_definitions(rows, term_cell="^“(?P<term>[^”]+)”$").select("doc_id", "def_idx", "row", "term", "text")
 
 
@@ -218,7 +218,7 @@ def numbered(spark, sf_dir) -> DataFrame:
 @query(f"select o, was, num from (select *, lag(num) over (partition by o order by e) as was from ({NUMBERED})) where num <> was + 1")
 def register_gaps(spark, sf_dir):
     """Orders as registers, their lines as entries: where the numbers jump."""
-    return registers.number_gaps(numbered(spark, sf_dir), by=("o",), order="e", number="num")
+    return registers.number_gaps(numbered(spark, sf_dir), by=("o",), order="e", number="num").drop("e")
 
 
 @query(f"""select cast(o as varchar) as o, count(*) as n_entries, '| Entry | Date | Description |' || chr(10) || '|---|---|---|' || chr(10) || string_agg('| ' || cast(num as varchar) || ' | ' || strftime(d, '%Y-%m-%d') || ' | part ' || cast(p as varchar) || ' |', chr(10) order by e) as entry_table from ({NUMBERED}) group by o""")
@@ -282,24 +282,30 @@ def redact_words(spark, sf_dir):
     return redact.redact_lines(lines, terms=["the"])
 
 
-@query("""select cast(n_regionkey as varchar) as doc_id, string_agg('<a id="n' || cast(n_nationkey as varchar) || '"></a>' || chr(10) || chr(10) || '# ' || n_name || chr(10) || chr(10) || '- title: ' || n_name || chr(10) || '- article_number: ' || cast(n_nationkey as varchar) || chr(10) || chr(10) || 'See [next](#n' || cast(n_nationkey + 1 as varchar) || ').', chr(10) || chr(10) order by n_nationkey) || chr(10) as content from nation group by n_regionkey""")
+@query(f"""select cast(n_regionkey as varchar) as doc_id, '---' || chr(10) || 'title: Region ' || cast(n_regionkey as varchar) || chr(10) || 'sources:' || chr(10) || '- id: r' || cast(n_regionkey as varchar) || chr(10) || 'generated_by: {render.TOOL}' || chr(10) || '---' || chr(10) || chr(10) ||
+ string_agg('<a id="n' || cast(n_nationkey as varchar) || '"></a>' || chr(10) || chr(10) || '# ' || n_name || chr(10) || chr(10) || '- title: ' || n_name || chr(10) || '- article_number: ' || cast(n_nationkey as varchar) || chr(10) || chr(10) || 'See [next](#n' || cast(n_nationkey + 1 as varchar) || ').', chr(10) || chr(10) order by n_nationkey) || chr(10) as content from nation group by n_regionkey""")
 def single_file(spark, sf_dir):
-    """Sections of one file a region, references as jumps."""
-    k = F.col("n_nationkey")
-    made = table(spark, sf_dir, "nation").select(F.col("n_regionkey").cast("string").alias("doc_id"), k.cast("int").alias("seq"), F.concat(F.lit("n"), k.cast("string")).alias("name"), F.col("n_name").alias("title"), F.array(F.concat(F.lit("See [next](ref:n"), (k + 1).cast("string"), F.lit(")."))).alias("body"), F.lit(None).cast("string").alias("description"), F.array(item("article_number", k, "num")).alias("position"))
-    return render.single_files(render.sections(made), {})
+    """Sections of one file a region under its frontmatter, references as jumps."""
+    k, r = F.col("n_nationkey"), F.col("n_regionkey").cast("string")
+    nation, none = table(spark, sf_dir, "nation"), F.lit(None).cast("string")
+    made = nation.select(r.alias("doc_id"), k.cast("int").alias("seq"), F.concat(F.lit("n"), k.cast("string")).alias("name"), F.col("n_name").alias("title"), F.array(F.concat(F.lit("See [next](ref:n"), (k + 1).cast("string"), F.lit(")."))).alias("body"), none.alias("description"), F.array(item("article_number", k, "num")).alias("position"))
+    heads = nation.select(r.alias("doc_id"), F.concat(F.lit("Region "), r).alias("title"), none.alias("description"), F.concat(F.lit("- id: r"), r, F.lit("\n")).alias("sources")).distinct()
+    return render.single_files(render.sections(made), heads)
 
 
-@query()
+@query("select s_suppkey, 'type: supplier' || chr(10) || 'title: ' || s_name || chr(10) || 'number: ' || cast(s_suppkey as varchar) || chr(10) as yaml from supplier")
 def frontmatter_yaml(spark, sf_dir):
-    """Fields of every supplier as YAML, byte for byte: without SQL."""
+    """Fields of every supplier as YAML, byte for byte."""
     fields = F.array(item("type", F.lit("supplier"), "str"), item("title", F.col("s_name"), "str"), item("number", F.col("s_suppkey"), "num"))
     return table(spark, sf_dir, "supplier").select("s_suppkey", render.to_yaml(fields).alias("yaml"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    from . import build_queries  # noqa: F401  (registers its queries, which use this module)
+
     return dict(QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
+    queries()
     return dict(ORACLES)

@@ -59,16 +59,22 @@ def read_tree(spark: SparkSession, path: str, recursive: bool = True, pattern: s
     return reader.load(path).select(rel.alias("path"), F.when(F.col("path").endswith(".md"), text).alias("text"), F.when(~F.col("path").endswith(".md"), F.col("content")).alias("bytes"))
 
 
-def choose_source(manifest: list[dict], have_transcript: set[str], have_source: set[str]) -> list[dict]:
-    """For each document the reader to use, or why there is none. Config-sized."""
+def authored_files(tree: DataFrame) -> DataFrame:
+    """Hand-written files as they go into the bundle: all but the folder's own README.md."""
+    return tree.where("path <> 'README.md'")
+
+
+def choose_source(manifest: list[dict], have_transcript: set[str], have_source: set[str], rules: dict[str, dict] | None = None) -> list[dict]:
+    """For each document the reader to use, or why there is none. Config-sized. Rules by document may name the engine."""
     out = []
     for doc in manifest:
-        name, ending = doc["id"], "." + str(doc.get("source", "")).rpartition(".")[2].lower()
-        engine = (doc.get("extract") or {}).get("engine")
+        name, file = doc["id"], str(doc.get("source", "")).rpartition("/")[2]
+        ending = "." + file.rpartition(".")[2].lower()
+        engine = ((rules or {}).get(name, doc).get("extract") or {}).get("engine")
         if name in have_transcript:
             kind, why = "transcript", None
         elif name not in have_source:
-            kind, why = None, f"source not found: {doc.get('source')}"
+            kind, why = None, f"source not found: {file}"
         elif (engine, ending) in (("pdf-layout", ".pdf"), ("docx", ".docx")):
             kind, why = engine, None
         else:

@@ -7,10 +7,10 @@ from pyspark.sql import functions as F
 
 from quillstack.functions import text as T
 from quillstack.functions.patterns import Pattern, template
-from quillstack.operators import assemble, checks, definitions, redact, registers, render, segments
-from quillstack.plans.rules import Overrides, Rules, keep_patterns
+from quillstack.operators import assemble, checks, definitions, redact, render, segments
+from quillstack.plans.rules import Overrides, Rules
 from quillstack.sources import layout
-from quillstack.sources.docx import Document, Lists
+from quillstack.sources.docx import Counting, Document
 from quillstack.sources.transcripts import choose_source, read_transcripts, transcript_lines
 
 LINES = segments.LINES
@@ -92,7 +92,7 @@ def test_concepts_links_and_files(spark):
     assert got["both"].body == ["## Rule 3", "Sum, see rule 3", "## Rule 4", "Last"] and got["both"].ord == 2
     assert got["words"].body == ["Here:", "## fee", '"fee" means money;\n\nand more', "## Notes", "(2) Else", "## sum", "Defined in [rule 3](ref:both)."]
     doc = {"id": "d", "bundle-path": "rules", "concept-type": "rule", "description": "The rules"}
-    file = {r.path: r.content for r in render.concept_files(made, doc).collect()}["rules/rule-02.md"]
+    file = {r.path: r.content for r in render.concept_files(made, render.document_rows(spark, [doc])).collect()}["rules/rule-02.md"]
     assert file.startswith("---\ntype: rule\ntitle: Rule 2 – Naming\ndescription: About names.\npart: Part 1 – The RTM rules\nsection: Names\nrule_number: 2\nsource_pages:\n- 4\nsources:\n- id: d\n  title: The rules\n") and file.endswith("# Rule 2 – Naming\n\nCall [rule 3](/rules/both.md) and rule 9.\n")
     said = {r.message for r in a.diagnostics().collect()}
     assert "group both: unit 8 not found" in said
@@ -168,21 +168,6 @@ def test_checks_and_differences(spark):
     assert {r.path: r.content for r in checks.retained(new, old, "now", "S").collect()} == {"a": "k: 1\n  at: 'old'\n", "b": "k: 2\n  at: 'now'\n", "c": "at 'now'"}
 
 
-def test_registers(spark):
-    w = lambda *xs: [{"text": t, "x0": float(x)} for t, x in xs]
-    rows = [w(("Title", 10), ("(Freehold)", 60)), w(("AB123", 10)), w(("Accessed", 1), ("on", 2), ("3", 3), ("May", 4), ("2024", 5), ("at", 6), ("10:11:12", 7)), w(("A:", 10), ("Property", 20), ("Register", 30)), w(("This", 10), ("describes.", 20)), w(("Entry", 1), ("number", 2)), w(("1", 10), ("2001-02-03", 30), ("Land", 210), ("under-", 240)), w(("lease.", 210)), w(("Later", 210)), w(("3", 10), ("Term", 210), (":", 230), ("9", 240)), w(("NOTE:", 210), ("n", 230)), w(("odd", 10))]
-    tops = [0, 10, 20, 30, 40, 50, 60, 70, 120, 130, 140, 150]
-    made = [("t", 1, i, float(t), 16 if i == 3 else 10, r) for i, (r, t) in enumerate(zip(rows, tops, strict=True))]
-    events = registers.parse_registers(spark.createDataFrame(made, "doc_id string, page int, row int, top double, size int, words array<struct<text:string,x0:double>>")).persist()
-    entries = registers.entries(events).orderBy("entry").collect()
-    assert [(e.number, e.date, e.paragraphs) for e in entries] == [(1, "2001-02-03", ["Land under-lease.", "Later"]), (3, None, ["Term : 9", "NOTE: n"])]
-    assert entries[0].fields is None and [(f.k, f.v) for f in entries[1].fields] == [("Term", "9"), ("Note", "NOTE: n")]
-    assert [(r.was, r.number) for r in registers.number_gaps(registers.entries(events)).collect()] == [(1, 3)]
-    c = registers.register_concepts(events).first()
-    assert c.name == "a-property-register" and c.body[0] == "This describes." and c.body[-1].startswith("| Entry | Term | Note |")
-    assert {p.k: p.v for p in c.position}["accessed"] == "2024-05-03T10:11:12"
-
-
 def test_layout(spark):
     raw = [("d", 1, i, t, float(top), 10.4, 1.0, 0.0) for i, (t, top) in enumerate([("One", 0), ("two", 12), ("drop me", 24), ("three", 36), ("• four", 48), ("far", 90)])]
     got = layout.joined_lines(spark.createDataFrame(raw, "doc_id string, page int, ln int, text string, top double, size double, x0 double, bold_share double"), drop=["^drop"], breaks=["•"])
@@ -209,18 +194,71 @@ def test_docx_numbers():
     doc = Document(data.getvalue())
     assert [x[:2] for x in doc.lines()] == [("1. a", True), ("1.1 b", False), ("1.3 c", False), ("2. d", False), ("2.1 e", False), ("7. f", False), ("8. g", False), ("h", False)]
     assert list(doc.tables()) == [("h", [["x"]])]
-    assert Lists(None).label("1", 0) == ""
+    assert Counting(None).next("1", 0) == ""
 
 
-def test_redaction(spark):
-    rows = [("d", 0, "2.1 Words of the Company’s 12 rules;", False), ("d", 1, "TITLE KEPT", True), ("d", 2, "(a) IN 2001 pay £4.50", False)]
-    df = spark.createDataFrame(rows, "doc_id string, pos int, text string, bold boolean")
-    for mode in ("sequential", "scalable"):
-        got = [r.text for r in redact.redact_lines(df, terms=["Company"], mode=mode, keep_bold=True).orderBy("pos").collect()]
-        assert got[0].startswith("2.1 ") and "Company’s 00 " in got[0] and got[0].endswith(";") and got[0].split()[1][0].isupper()
-        assert got[1] == "TITLE KEPT" and got[2].startswith("(a) ") and got[2].endswith("£0.00") and " 0000 " in got[2] and got[2].split()[1].isupper()
+def test_zero_digits(spark):
     assert one(spark, redact.zero_digits(F.col("t")), t="12. pay 34") == "12. pay 00"
-    assert keep_patterns({"extract": {"drop": ["^x"]}, "definitions": {"term": "t", "skip-terms": ["a.b"]}, "cross-references": ["r"]}) == ["^x", "t", r"(?<!\w)a\.b(?!\w)", "r"]
+
+
+def test_list_counting():
+    from xml.etree import ElementTree as ET
+
+    ns = 'xmlns:w="http://schemas.openxmlformats.org/wordprocessingml/2006/main"'
+    level = lambda i, text, start=1, kind="decimal": f'<w:lvl w:ilvl="{i}"><w:start w:val="{start}"/><w:numFmt w:val="{kind}"/><w:lvlText w:val="{text}"/></w:lvl>'
+    num = lambda n, a, *over: f'<w:num w:numId="{n}"><w:abstractNumId w:val="{a}"/>' + "".join(f'<w:lvlOverride w:ilvl="{k}"><w:startOverride w:val="{v}"/></w:lvlOverride>' for k, v in over) + "</w:num>"
+    root = ET.fromstring(f'<w:numbering {ns}><w:abstractNum w:abstractNumId="0">{level(0, "%1.")}{level(1, "%1.%2", 3)}{level(2, "(%3) of %1, %9")}{level(3, "x", 1, "none")}</w:abstractNum>{num(1, 0)}{num(2, 0, (0, 7), (1, 5))}{num(3, 9)}</w:numbering>')
+    c = Counting(root)
+    got = [c.next(n, k) for n, k in (("1", 0), ("1", 1), ("1", 1), ("1", 2), ("1", 0), ("1", 2), ("1", 1), ("1", 3), ("2", 1), ("1", 1), ("2", 1), ("2", 0), ("1", 0), ("1", 8), ("3", 0), ("4", 0))]
+    # Level 2 under an uncounted level 1; the second instance restarts the shared list once; an unknown level counts plainly.
+    assert got == ["1.", "1.3", "1.4", "(1) of 1, 1", "2.", "(1) of 2, 1", "2.3", "", "6.5", "6.6", "6.7", "7.", "8.", "8", "", ""]
+
+
+def test_word_documents_as_tables(spark):
+    import io
+    import zipfile
+
+    from quillstack.sources.docx import docx_lines, docx_tables, table_after
+
+    ns = 'xmlns:w="http://schemas.openxmlformats.org/wordprocessingml/2006/main"'
+    styles = f'<w:styles {ns}><w:style w:type="paragraph" w:default="1" w:styleId="N"><w:name w:val="Normal"/></w:style><w:style w:type="paragraph" w:styleId="H"><w:name w:val="Head"/><w:basedOn w:val="B"/></w:style><w:style w:type="paragraph" w:styleId="B"><w:name w:val="Base"/><w:pPr><w:numPr><w:ilvl w:val="0"/><w:numId w:val="1"/></w:numPr></w:pPr><w:rPr><w:b/></w:rPr></w:style></w:styles>'
+    numbering = f'<w:numbering {ns}><w:abstractNum w:abstractNumId="0"><w:lvl w:ilvl="0"><w:lvlText w:val="%1)"/></w:lvl></w:abstractNum><w:num w:numId="1"><w:abstractNumId w:val="0"/></w:num></w:numbering>'
+    cell = lambda *ps: "<w:tc>" + "".join(f"<w:p><w:r><w:t>{p}</w:t></w:r></w:p>" for p in ps) + "</w:tc>"
+    table = f"<w:tbl><w:tr>{cell('Term')}{cell('one', 'two')}</w:tr></w:tbl>"
+    body = f'<w:p><w:pPr><w:pStyle w:val="H"/></w:pPr><w:r><w:t>Styled</w:t></w:r></w:p><w:p><w:r><w:t>plain</w:t></w:r></w:p>{table}<w:p/>{table.replace("Term", "Other")}'
+    data = io.BytesIO()
+    with zipfile.ZipFile(data, "w") as z:
+        for name, text in (("document", f"<w:document {ns}><w:body>{body}</w:body></w:document>"), ("styles", styles), ("numbering", numbering)):
+            z.writestr(f"word/{name}.xml", text)
+    files = spark.createDataFrame([(d, data.getvalue()) for d in ("a", "b")], "doc_id string, content binary")
+    got = sorted((r.doc_id, r.pos, r.text, r.bold, r["style"]) for r in docx_lines(files).collect())
+    assert got == [(d, i, *x) for d in ("a", "b") for i, x in enumerate([("1) Styled", True, "Head"), ("plain", False, "Normal")])]
+    tables = docx_tables(files)
+    assert sorted((r.doc_id, r.t, r.before, r.rows) for r in tables.collect()) == [(d, t, "plain", [[c, "one\ntwo"]]) for d in ("a", "b") for t, c in ((0, "Term"), (1, "Other"))]
+    assert [(r.t) for r in table_after(tables, None, "Oth").collect()] == [1, 1] and [r.t for r in table_after(tables, "plain").collect()] == [0, 0]
+
+
+def test_skipped_pages_and_bold(spark):
+    raw = [("d", p, i, f"page {p}", 10.0 * i, 10.0, 1.0, 0.0) for p in (1, 2) for i in range(2)]
+    df = spark.createDataFrame(raw, "doc_id string, page int, ln int, text string, top double, size double, x0 double, bold_share double")
+    assert {r.page for r in layout.without_pages(df, [1]).collect()} == {2}
+    assert {r.page for r in layout.without_pages(df, [{"page": 2, "expect": "page 2"}, {"page": 9, "expect": "x"}]).collect()} == {1}
+    with pytest.raises(Exception, match="was to be skipped"):
+        layout.without_pages(df, [{"page": 2, "expect": "gone"}]).collect()
+    with pytest.raises(Exception, match="not found"):
+        layout.tables_between(df, df, "^nowhere").collect()
+    chars = lambda fonts: F.array(*[F.struct(F.lit(t).alias("text"), F.lit(f).alias("fontname")) for t, f in fonts])
+    cases = [([("a", "X-Bold")] * 9 + [("b", "X")], True), ([("a", "X-Bold")] * 8 + [("b", "X")] * 2, False), ([(" ", "X")] * 9 + [("a", "BOLD")], True), ([(" ", "X-Bold")], False)]
+    assert [one(spark, layout.is_bold(chars(c)), t="") for c, _ in cases] == [want for _, want in cases]
+
+
+def test_big_tables_are_linear(spark):
+    import time
+
+    cells = F.transform(F.sequence(F.lit(1), F.lit(20000)), lambda i: F.array(i.cast("string"), F.lit("a|b")))
+    began = time.time()
+    made = spark.range(1).select(T.markdown_table(cells).alias("t")).first().t
+    assert made.count("\n") == 20000 and made.endswith("| 20000 | a\\|b |") and time.time() - began < 30
 
 
 def test_stream_equals_batch(spark, tmp_path):
