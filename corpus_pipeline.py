@@ -22,9 +22,9 @@ from quillstack.plans.barrier import drop_tables, last_table, mark
 ORACLE_SQL = None
 
 
-#: A near-duplicate pair: SimHash fingerprints of five-word shingles in at most NEAR of 64 bits (a similarity of 0.9), and in at
-#: most GUARD of 128 bits with a second fingerprint. AGREE bit blocks agree in each candidate pair.
-SHINGLE, NEAR, AGREE, GUARD = 5, 6, 3, 20
+#: A near-duplicate pair: of two SimHash fingerprints of five-word shingles one differs in at most NEAR of 64 bits, both together in
+#: at most GUARD of 128 (a similarity of 0.81). AGREE bit blocks agree in each candidate pair.
+SHINGLE, NEAR, AGREE, GUARD = 5, 6, 3, 24
 #: A language is identified if its posterior is over this.
 SURE = 0.5
 

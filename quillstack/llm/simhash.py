@@ -8,9 +8,10 @@ walked from the roots; bits that both nodes share and that differ add up on the
 is dropped with all below it when they exceed the limit, or when all below both is linked already. A
 group returns a spanning forest of the links it finds, never all pairs.
 
-Random fingerprints of a very large corpus come within a larger limit by chance. A *guard* is a second
-fingerprint, from rehashed shingles: a link then also needs no more than ``guard`` differing bits in both
-together. Documents are then told apart by both fingerprints, as a 64-bit hash of them.
+Random fingerprints of a very large corpus come within a larger limit by chance, and similar texts miss a
+limit by chance. With a *guard*, a document has a second fingerprint, from rehashed shingles: a link needs one
+of the two within the limit, either is indexed, and no more than ``guard`` differing bits in both together.
+Documents are then told apart by both fingerprints, as a 64-bit hash of them.
 
 Null text and text without words have fingerprint zero, linked like any other. Short texts hash their
 whole word sequence. Repeated rows share a fingerprint. A component's id is its smallest non-null doc_id.
@@ -22,6 +23,7 @@ from itertools import accumulate, combinations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -116,7 +118,7 @@ def gray_rank(x: np.ndarray) -> np.ndarray:
 class GrayForest:
     """A tree for each group over fingerprints sorted by group and Gray rank."""
 
-    def __init__(self, fps: np.ndarray, group: np.ndarray, limit: int, second: np.ndarray | None = None, guard: int = 0):
+    def __init__(self, fps: np.ndarray, group: np.ndarray, limit: int, second: np.ndarray | None, guard: int):
         self.fps, self.limit, self.second, self.guard = fps, limit, second, guard
         n = len(fps)
         near = (group[1:] == group[:-1]) & self.linked(np.arange(1, n), np.arange(n - 1))
@@ -229,47 +231,53 @@ class GrayForest:
 
 
 def forest_links(fps: np.ndarray, key: np.ndarray, limit: int = LIMIT, second: np.ndarray | None = None, guard: int = 0) -> np.ndarray:
-    """Pairs of nodes that span the links inside each key."""
+    """Pairs of row numbers that span the links inside each key."""
     order = np.lexsort((gray_rank(fps), key))
     new = np.ones(len(key), bool)
     new[1:] = key[order][1:] != key[order][:-1]
     group = np.cumsum(new) - 1
     crowd = np.bincount(group)[group] > 1
     if not crowd.any():
-        return np.zeros((0, 2), np.uint64)
+        return np.zeros((0, 2), np.int64)
     own, group = order[crowd], group[crowd]
-    fps, second = fps[own], None if second is None else second[own]
-    return node_of(fps, second)[GrayForest(fps, group, limit, second, guard).walk()]
+    return own[GrayForest(fps[own], group, limit, None if second is None else second[own], guard).walk()]
 
 
 def links(unique: DataFrame, limit: int = LIMIT, agree: int = 2, guard: int | None = None) -> DataFrame:
     """(a, b): links that span all pairs of distinct nodes (fp, second, node) within ``limit`` bits (and the guard's)."""
     spark = unique.sparkSession
     ship(spark)
-    masks, n = block_masks(limit, agree), width(spark, unique, 1 << 20)
+    masks, n, sides = block_masks(limit, agree), width(spark, unique, 1 << 20), 1 if guard is None else 2
 
     def deal(batches):
         for batch in batches:
             for s in range(0, batch.num_rows, 2000):
                 part = batch.slice(s, 2000)
-                fps = part.column("fp").to_numpy(zero_copy_only=False).view(np.uint64)
-                keys = np.concatenate([mixed((fps & m) ^ mixed(np.full(len(fps), c, np.uint64))) for c, m in enumerate(masks)])
-                to = (keys >> np.uint64(33)) % np.uint64(n)
-                order = np.argsort(to, kind="stable")
-                keys, to, row = keys[order], to[order], order % len(fps)
-                cuts = np.append(np.flatnonzero(np.append(True, to[1:] != to[:-1])), len(to))
-                cols = {"fps": fps[row], "keys": keys} | ({} if guard is None else {"more": part.column("second").to_numpy(zero_copy_only=False).view(np.uint64)[row]})
-                made = {c: pa.array([x[s:e].tobytes() for s, e in zip(cuts, cuts[1:], strict=False)], pa.binary()) for c, x in cols.items()}
-                yield pa.RecordBatch.from_pydict({"to": pa.array(to[cuts[:-1]].astype(np.int32), pa.int32())} | made)
+                both = [part.column(c).to_numpy(zero_copy_only=False).view(np.uint64) for c in ("fp", "second")[:sides]]
+                for side in range(sides):
+                    fps = both[side]
+                    keys = np.concatenate([mixed((fps & m) ^ mixed(np.full(len(fps), c, np.uint64))) for c, m in enumerate(masks)])
+                    to = (keys >> np.uint64(33)) % np.uint64(n)
+                    order = np.argsort(to, kind="stable")
+                    keys, to, row = keys[order], to[order], order % len(fps)
+                    cuts = np.append(np.flatnonzero(np.append(True, to[1:] != to[:-1])), len(to)) if len(to) else np.zeros(1, np.int64)
+                    cols = {"fps": fps[row], "keys": keys} | ({"more": both[1 - side][row]} if sides > 1 else {})
+                    made = {c: pa.array([x[s:e].tobytes() for s, e in zip(cuts, cuts[1:], strict=False)], pa.binary()) for c, x in cols.items()}
+                    yield pa.RecordBatch.from_pydict({"to": pa.array(to[cuts[:-1]].astype(np.int32), pa.int32()), "side": pa.array([side] * (len(cuts) - 1), pa.int32())} | made)
 
     def join(batches):
         for _, own in by_group(batches):
-            fps, keys, *more = (np.frombuffer(b"".join(x for batch in own for x in batch.column(c).to_pylist()), np.uint64) for c in ("fps", "keys", *(() if guard is None else ("more",))))
-            # Distinct (key, node) pairs by construction: the nodes are distinct.
-            found = forest_links(fps, keys, limit, *(() if guard is None else (more[0], guard))).view(np.int64)
-            yield pa.RecordBatch.from_pydict({"a": pa.array(np.ascontiguousarray(found[:, 0])), "b": pa.array(np.ascontiguousarray(found[:, 1]))})
-
-    packs = unique.select("fp", "second").mapInArrow(deal, "to int, fps binary, keys binary" + ", more binary" * (guard is not None))
+            rows = pa.Table.from_batches(own)
+            own.clear()
+            for side in range(sides):
+                part = rows.filter(pc.equal(rows.column("side"), side))
+                # Distinct (key, node) pairs by construction: the nodes are distinct.
+                fps, keys, *more = (np.frombuffer(b"".join(part.column(c).to_pylist()), np.uint64) for c in ("fps", "keys", *(("more",) if sides > 1 else ())))
+                found = forest_links(fps, keys, limit, *((more[0], guard) if more else ()))
+                nodes = (node_of(fps, None) if not more else node_of(more[0], fps) if side else node_of(fps, more[0]))[found].view(np.int64)
+                yield pa.RecordBatch.from_pydict({"a": pa.array(np.ascontiguousarray(nodes[:, 0])), "b": pa.array(np.ascontiguousarray(nodes[:, 1]))})
+
+    packs = unique.select("fp", "second").mapInArrow(deal, "to int, side int, fps binary, keys binary" + ", more binary" * (sides > 1))
     return dealt(packs, n).mapInArrow(join, "a long, b long")
 
 

@@ -67,7 +67,7 @@ def near(rows):
     for a in range(len(nodes)):
         for b in range(a):
             one, two = ((x ^ y).bit_count() for x, y in zip(nodes[a], nodes[b], strict=True))
-            if one <= p.NEAR and one + two <= p.GUARD:
+            if min(one, two) <= p.NEAR and one + two <= p.GUARD:
                 root[find(a)] = find(b)
     return {t: find(nodes.index(x)) for t, x in prints.items()}
 
