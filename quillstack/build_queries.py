@@ -16,7 +16,6 @@ from .sources import layout
 from .sources.transcripts import frontmatter, stale
 
 TOOL, STAMP = render.TOOL, render.STAMP
-NAMED = "Document '' || doc_id"
 
 
 # ---------------------------------------------------------------- builds
