@@ -85,7 +85,7 @@ def bundle_build(spark, sf_dir):
 SECTION = lines_sql("'<a id=\"' || name || '\"></a>'", "''", "'# ' || title", "''", "'- title: ' || title", "'- article_number: ' || cast(k as varchar)", "''", linked("'#'", "''"))
 DOC_FILE = lines_sql("'---'", "'title: Document ' || doc_id", "'sources:'", "'- id: ' || doc_id", "'  title: Document ' || doc_id", f"'generated_by: {TOOL}'", "'---'", "''", f"string_agg({SECTION}, chr(10) || chr(10) order by k)", "''")
 NOTES_FILE = lines_sql("'---'", "'title: notes'", "'sources: []'", f"'generated_by: {TOOL}'", "'---'", "''", "'<a id=\"a\"></a>'", "''", "'# A note'", "''", "'- title: A note'", "''", "'See [one](#article-01).'", "''")
-ACTS_FILE = lines_sql("'---'", "'title: Legislation'", "'description: Acts that the documents refer to.'", f"'generated_by: {TOOL}'", "'---'", "''", "'<a id=\"acts-act-1999\"></a>'", "''", "'# Acts Act 1999'", "''", "'- title: Acts Act 1999'", "'- description: About acts.'", "''")
+ACTS_FILE = lines_sql("'---'", "'title: Legislation'", "'description: Acts referred to by the governing documents.'", f"'generated_by: {TOOL}'", "'---'", "''", "'<a id=\"acts-act-1999\"></a>'", "''", "'# Acts Act 1999'", "''", "'- title: Acts Act 1999'", "'- description: About acts.'", "''")
 
 
 @query(f"{ARTICLES} select doc_id || '.md' as path, {DOC_FILE} as content from x group by doc_id union all select 'notes.md', {NOTES_FILE} union all select 'legislation.md', {ACTS_FILE}")
@@ -249,3 +249,48 @@ def authored_parts(spark, sf_dir):
     body = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("turn", part.alias("t")))), lambda x: x["t"]), "\n")
     files = c.groupBy(F.concat(F.lit("notes/"), F.col("conv_id").cast("string"), F.lit(".md")).alias("path")).agg(F.concat(F.lit("# Title\n"), body).alias("body"))
     return render.authored_sections(files)[0].where("body <> ''")
+
+
+# ---------------------------------------------------------------- further operators
+DEFINED = RULES | {"definitions": {"unit": 1, "file": "words", "title": "Words", "type": "definitions", "term": r"^\((?P<term>\d)\)"}}
+
+
+@query(f"{ARTICLES} select doc_id, 'words' as name, 'Words' as title, 'definitions' as type, -1 as ord, '## 1' || chr(10) || chr(10) || replace(body, chr(10) || chr(10) || '(2)', chr(10) || chr(10) || '## 2' || chr(10) || chr(10) || '(2)') as body, page as first_page from x where k = 1")
+def definition_concepts(spark, sf_dir):
+    """A clause of definitions as a concept: a heading for each term, a place of its own."""
+    rules = Rules.of(DEFINED)
+    made = Assembler(segments.parse_units(synthetic(spark, sf_dir), rules), rules).assembled().where("name = 'words'")
+    pages = F.get(F.filter("position", lambda f: f["k"] == "source_pages"), F.lit(0))["v"]
+    return made.select("doc_id", "name", "title", "type", "ord", F.array_join("body", "\n\n").alias("body"), pages.cast("int").alias("first_page"))
+
+
+@query(f"{ARTICLES} select doc_id, 'term ' || cast(k as varchar) as term from x where k % 7 = 0 and k % 2 = 0")
+def defined_terms(spark, sf_dir):
+    """Terms that redaction keeps: second-level headings of definitions, here each seventh article's."""
+    from .operators.redact import defined_terms as found
+
+    units = Assembler(parsed(spark, sf_dir), Rules.of(RULES)).units
+    k = F.col("key").cast("int")
+    body = F.array(F.lit("Intro"), F.concat(F.lit("## term "), "key", F.lit("\n\ntext ## not a heading")))
+    return found(units.where(k % 7 == 0).select("doc_id", F.when(k % 2 == 0, "definitions").alias("type"), body.alias("body")))
+
+
+@query("""select case when n.k is null then 'removed' when o.k is null then 'added' else 'changed' end as change, count(*) as n from (select event_id as k, event_type as c from events where event_id % 10 <> 0) n
+ full outer join (select event_id as k, case when event_id % 7 = 0 then 'x' else event_type end as c from events where event_id % 11 <> 0) o on n.k = o.k where n.k is null or o.k is null or n.c <> o.c group by 1""")
+def change_report(spark, sf_dir):
+    """Changes between two trees, counted by kind."""
+    from .operators import checks
+
+    ev = table(spark, sf_dir, "events").select("event_id", F.col("event_id").cast("string").alias("path"), F.col("event_type").alias("content"))
+    old = ev.where("event_id % 11 <> 0").withColumn("content", F.when(F.col("event_id") % 7 == 0, "x").otherwise(F.col("content")))
+    return checks.change_counts(checks.tree_diff(ev.where("event_id % 10 <> 0"), old)).select("change", F.col("count").alias("n"))
+
+
+@query("""select cast(l_orderkey as varchar) as doc_id, l_linenumber as line, string_agg('p' || cast(l_partkey as varchar), ' ' order by l_suppkey, l_partkey, l_quantity) as text, 12 as size from lineitem group by l_orderkey, l_linenumber""")
+def word_rows(spark, sf_dir):
+    """Words of a page in rows: heights within three points belong together, words go from left to right."""
+    li = table(spark, sf_dir, "lineitem").withColumn("word_ix", F.row_number().over(Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_suppkey", "l_partkey", "l_quantity")))
+    x0, top = F.col("l_suppkey") + F.col("word_ix") / 1000, F.col("l_linenumber") * 10.0 + F.col("l_partkey") % 3
+    words_ = li.select(F.col("l_orderkey").cast("string").alias("doc_id"), F.lit(1).alias("page"), "word_ix", F.concat(F.lit("p"), F.col("l_partkey").cast("string")).alias("text"), x0.alias("x0"), (x0 + 1).alias("x1"), top.alias("top"), F.lit(11.6).alias("size"), F.lit("f").alias("fontname"))
+    rows = layout.word_rows(words_)
+    return rows.select("doc_id", F.floor(F.col("top") / 10).cast("int").alias("line"), layout.row_text(F.col("words")).alias("text"), "size")

@@ -8,6 +8,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
+from ..plans.shipping import ship
+
 
 def typed(value: str, kind: str):
     """A field's value as YAML should see it."""
@@ -25,4 +27,5 @@ def yaml_series(fields: pd.Series) -> pd.Series:
 
 
 def to_yaml(fields: Column) -> Column:
+    ship()
     return F.pandas_udf(yaml_series, StringType())(fields)

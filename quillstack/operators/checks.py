@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import SNAKE, links_in, resolved, without_stamp
+from ..plans.shipping import ship
 
 RESERVED = ("index.md", "log.md")
 
@@ -32,6 +33,8 @@ def duplicate_paths(files: DataFrame) -> DataFrame:
 
 def nested_keys(texts: DataFrame) -> DataFrame:
     """(path, dotted, name, value): every key of the YAML in texts(path, yaml); lists add no part to the path."""
+    ship(texts.sparkSession)
+
     def walk(value, prefix=""):
         if isinstance(value, dict):
             for key, inner in value.items():

@@ -24,6 +24,8 @@ from ..sources.transcripts import authored_files, choose_source, frontmatter, re
 from .barrier import held
 from .rules import Overrides, Rules, TitleRegister
 
+#: Fixed value: what the file of reference concepts says about itself.
+ACTS_ABOUT = "Acts referred to by the governing documents."
 MESSAGES = "doc_id string, message string"
 STALE = "the transcript does not match its source (source-sha256 differs); check it against the source, then record the new hash"
 
@@ -247,7 +249,7 @@ def single_build(ws: Workspace) -> Build:
     heads = [render.document_rows(spark, ws.documents).select("doc_id", "title", F.lit(None).cast("string").alias("description"), "sources")]
     acts = made.legislation.withColumn("body", F.filter("body", lambda b: ~b.eqNullSafe(F.col("description"))))
     parts.append(render.sections(acts))
-    heads.append(spark.createDataFrame([("legislation", groups.get("legislation", "Legislation"), "Acts that the documents refer to.", None)], "doc_id string, title string, description string, sources string"))
+    heads.append(spark.createDataFrame([("legislation", groups.get("legislation", "Legislation"), ACTS_ABOUT, None)], "doc_id string, title string, description string, sources string"))
 
     hand = ws.authored.where(F.col("path").rlike(r"^[^/]+/[^/]+\.md$")).withColumn("doc_id", F.substring_index("path", "/", 1))
     head, body = frontmatter(F.col("text"))

@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from ..functions.pdf_text import pdf
 from ..operators.redact import Keeper, filled, reshaped, slots
 from ..plans.rules import Redaction
+from ..plans.shipping import ship
 from .docx import Document, W
 from .transcripts import BOLD, PAGE
 
@@ -136,6 +137,7 @@ def redacted_copies(files: DataFrame, transcripts: DataFrame, settings: dict[str
     anew), is an error.
     """
     spark = files.sparkSession
+    ship(spark)
     for doc, s in settings.items():
         if s.method not in ("copy", "docx", "transcript"):
             raise ValueError(f"{doc}: unknown redaction method {s.method!r}" if s.method != "pdf" else f"{doc}: PDF files are not drawn anew")

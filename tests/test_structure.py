@@ -283,3 +283,31 @@ def test_tree_sink(spark, tmp_path):
     assert write_tree(files(("a/x.md", "k\n  at: __BUILT_AT__\n"), ("y.md", "z")), out, "t1")["added"] == 2
     assert write_tree(files(("a/x.md", "k\n  at: __BUILT_AT__\n")), out, "t2") == {"added": 0, "changed": 0, "removed": 1}
     assert (tmp_path / "out/a/x.md").read_text() == "k\n  at: 't1'\n" and not (tmp_path / "out/y.md").exists()
+
+
+def test_lead_in_titles_shared_keys_and_missing_descriptions(spark):
+    cfg = {"headings": [], "units": {"key": ["number"], "patterns": [{"match": r"^(?P<number>\d+(?:\.\d+)*)\s", "filename": "c-{number}", "title": "Clause {number}", "title-if-split": "Clause {number} – lead-in"}]}}
+    rules = Rules.of(cfg)
+    a = assemble.Assembler(segments.parse_units(lines(spark, [("1 a", False), ("1.1 b", False), ("11 c", False), ("2 d", False), ("2 e", False), ("3.1 f", False)]), rules), rules)
+    got = {r.name: (r.title, r.body) for r in a.assembled().collect()}
+    # 1 has a part of its own, 11 has not; of two units with one key the later counts.
+    assert got == {"c-01": ("Clause 1 – lead-in", ["a"]), "c-1.1": ("Clause 1.1", ["b"]), "c-11": ("Clause 11", ["c"]), "c-02": ("Clause 2", ["e"]), "c-3.1": ("Clause 3.1", ["f"])}
+    said = {r.message for r in a.diagnostics().collect()}
+    assert "two units share the key 2" in said and "5 concepts have no description (first: c-01, c-1.1, c-11, c-02, c-3.1)" in said
+
+
+def test_rows_of_words_across_batches(spark):
+    r = random.Random(3)
+    words = [(f"d{r.randint(0, 2)}", r.randint(1, 4), i, f"w{i}", float(r.randint(0, 9)), 0.0, r.randint(0, 60) / 2, r.choice((9.5, 10.5, 11.0)), "f") for i in range(600)]
+    want = {}
+    for w in sorted(words, key=lambda w: (w[0], w[1], w[6], w[4], w[2])):
+        page = want.setdefault(w[:2], [])
+        page[-1].append(w) if page and w[6] - page[-1][0][6] <= 3 else page.append([w])
+    want = sorted((*key, i, g[0][6], round(max(w[7] for w in g)), [w[3] for w in sorted(g, key=lambda w: w[4])]) for key, page in want.items() for i, g in enumerate(page))
+    df = spark.createDataFrame(words, "doc_id string, page int, word_ix int, text string, x0 double, x1 double, top double, size double, fontname string")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        got = sorted((x.doc_id, x.page, x.row, x.top, x["size"], [w.text for w in x.words]) for x in layout.word_rows(df.repartition(5)).collect())
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert got == want
