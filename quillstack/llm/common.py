@@ -7,45 +7,24 @@ null ids are ordinary values (joins are null-safe).
 
 from __future__ import annotations
 
-import os
-import tempfile
-import zipfile
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..plans.barrier import held
+from ..plans.shipping import ship  # noqa: F401  (for the operators)
 
 SPACE = b" \t\n\r\x0b\x0c"
 WORD = r"[^\x20\x09-\x0D]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 COPIES, MOST_PARTITIONS = 1000, 100_000
-_shipped: set[str] = set()
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def ship(spark: SparkSession) -> None:
-    """Send this package to the Python workers once per application."""
-    sc = spark.sparkContext
-    if sc.applicationId in _shipped:
-        return
-    top = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
-    file = os.path.join(tempfile.mkdtemp(), "quillstack_pkg.zip")
-    with zipfile.ZipFile(file, "w") as z:
-        for folder, _, names in os.walk(top):
-            for name in names:
-                if name.endswith(".py"):
-                    full = os.path.join(folder, name)
-                    z.write(full, os.path.relpath(full, os.path.dirname(top)))
-    sc.addPyFile(file)
-    _shipped.add(sc.applicationId)
-
-
 #: Write a table to the shared folder and read it again.
 written = held
 
@@ -86,6 +65,11 @@ def by_group(batches):
         yield to, held
 
 
+def crowded(rows: DataFrame, key: str) -> bool:
+    """Does any value of the key (null too) stand in more than COPIES rows? Reads that column only."""
+    return not rows.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > COPIES).isEmpty()
+
+
 def spread(rows: DataFrame, *keys: str) -> DataFrame:
     """Rows with (copy, copies): one row stands for ``copies`` equal ones, the first of which has number ``copy``.
 
@@ -93,6 +77,8 @@ def spread(rows: DataFrame, *keys: str) -> DataFrame:
     can be dealt to several tasks.
     """
     one = rows.withColumn("copy", F.lit(0).cast("long")).withColumn("copies", F.lit(1).cast("long"))
+    if not crowded(rows, keys[0]):
+        return one
     many = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > COPIES)
     many = written(many, "copies").withColumnsRenamed({k: f"_{k}" for k in keys})
     if many.isEmpty():
