@@ -23,8 +23,8 @@ ORACLE_SQL = None
 
 
 #: A near-duplicate pair: of two SimHash fingerprints of five-word shingles one differs in at most NEAR of 64 bits, both together in
-#: at most GUARD of 128 (a similarity of 0.81). AGREE bit blocks agree in each candidate pair.
-SHINGLE, NEAR, AGREE, GUARD = 5, 6, 3, 24
+#: at most GUARD of 128 (a similarity of 0.8).
+SHINGLE, NEAR, GUARD = 5, 8, 26
 #: A language is identified if its posterior is over this.
 SURE = 0.5
 
@@ -52,7 +52,7 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def simhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates stays: that of the smallest doc_id (null is the largest), then of the smallest row key; one row of it."""
-    found = written(near_duplicates(docs, SHINGLE, NEAR, AGREE, GUARD).select("doc_id", "rk", "root"), "duplicates")
+    found = written(near_duplicates(docs, SHINGLE, NEAR, guard=GUARD).select("doc_id", "rk", "root"), "duplicates")
     rows = found.groupBy("root", "doc_id", "rk").agg(F.count(F.lit(1)).alias("n"))
     first = rows.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "rk", "n")).alias("first"))
     kept = written(first.select("first.doc_id", "first.rk", "first.n"), "kept")

@@ -2,7 +2,7 @@
 
 Fingerprints are 64-bit majorities of the XXH64 hashes of word shingles. Distinct fingerprints are
 dealt to groups by sets of bit blocks: with six blocks, two fingerprints that differ in at most four
-bits agree on two blocks; a larger limit takes more blocks that agree, so that groups stay small. In a group the fingerprints of a key are sorted by Gray rank and indexed by a
+bits agree on two blocks; with more fingerprints more blocks have to agree, so that groups stay small. In a group the fingerprints of a key are sorted by Gray rank and indexed by a
 tree: each node keeps the mask of bits that all below it share and their pattern. Pairs of nodes are
 walked from the roots; bits that both nodes share and that differ add up on the way down, and a pair
 is dropped with all below it when they exceed the limit, or when all below both is linked already. A
@@ -20,6 +20,7 @@ whole word sequence. Repeated rows share a fingerprint. A component's id is its
 from __future__ import annotations
 
 from itertools import accumulate, combinations
+from math import comb
 
 import numpy as np
 import pyarrow as pa
@@ -101,6 +102,14 @@ def block_masks(limit: int = LIMIT, agree: int = 2) -> list[np.uint64]:
     return [np.uint64(sum(x)) for x in combinations(blocks, agree)]
 
 
+def best_agree(nodes: int, limit: int) -> int:
+    """How many blocks should agree: finer groups cost more copies of each fingerprint, coarser ones more comparisons. The links are the same."""
+    def cost(agree: int) -> float:
+        return comb(limit + agree, agree) * (1000 + nodes / 2.0 ** (64 * agree / (limit + agree)))  # a copy costs as much as 1,000 comparisons
+
+    return min(range(2, 7), key=cost)
+
+
 def mixed(x: np.ndarray) -> np.ndarray:
     x = (x ^ (x >> np.uint64(31))) * np.uint64(0x9E3779B97F4A7C15)
     x = (x ^ (x >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
@@ -243,11 +252,11 @@ def forest_links(fps: np.ndarray, key: np.ndarray, limit: int = LIMIT, second: n
     return own[GrayForest(fps[own], group, limit, None if second is None else second[own], guard).walk()]
 
 
-def links(unique: DataFrame, limit: int = LIMIT, agree: int = 2, guard: int | None = None) -> DataFrame:
+def links(unique: DataFrame, limit: int = LIMIT, agree: int | None = None, guard: int | None = None) -> DataFrame:
     """(a, b): links that span all pairs of distinct nodes (fp, second, node) within ``limit`` bits (and the guard's)."""
     spark = unique.sparkSession
     ship(spark)
-    masks, n, sides = block_masks(limit, agree), width(spark, unique, 1 << 20), 1 if guard is None else 2
+    masks, n, sides = block_masks(limit, agree or best_agree(unique.count(), limit)), width(spark, unique, 1 << 20), 1 if guard is None else 2
 
     def deal(batches):
         for batch in batches:
@@ -281,7 +290,7 @@ def links(unique: DataFrame, limit: int = LIMIT, agree: int = 2, guard: int | No
     return dealt(packs, n).mapInArrow(join, "a long, b long")
 
 
-def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, limit: int = LIMIT, agree: int = 2, guard: int | None = None) -> DataFrame:
+def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, limit: int = LIMIT, agree: int | None = None, guard: int | None = None) -> DataFrame:
     """(doc_id, rk, fp, fingerprint, component_id, root); root is a node of the component, its own even where all ids are null."""
     prints = written(fingerprints(docs, shingle, guard is not None), "simhash")
     unique = written(prints.groupBy("node").agg(F.min("doc_id").alias("first"), F.min("fp").alias("fp"), F.min("second").alias("second")), "simhash-unique")

@@ -203,7 +203,7 @@ def test_gray_forest_spans_all_links():
 
 
 def test_guarded_links_equal_brute_force(spark):
-    from quillstack.llm.simhash import majorities, mixed, near_duplicates, shingle_hashes
+    from quillstack.llm.simhash import best_agree, majorities, mixed, near_duplicates, shingle_hashes
 
     import random
 
@@ -233,8 +233,10 @@ def test_guarded_links_equal_brute_force(spark):
             if min(bits, more) <= 6 and bits + more <= 14:
                 root[max(find(a), find(b))] = min(find(a), find(b))
             alone += (min(bits, more) <= 6 < bits + more - 8) + (bits + more <= 14 and bits > 6)
-    got = {x.doc_id: x.component_id for x in near_duplicates(frame(spark, rows), shingle=5, limit=6, agree=3, guard=14).collect()}
-    assert got == {i: find(i) for i in range(len(texts))} and alone and 25 < len(set(got.values())) < 150
+    for agree in (None, 3):  # the links don't depend on it
+        got = {x.doc_id: x.component_id for x in near_duplicates(frame(spark, rows), shingle=5, limit=6, agree=agree, guard=14).collect()}
+        assert got == {i: find(i) for i in range(len(texts))} and alone and 25 < len(set(got.values())) < 150
+    assert [best_agree(n, 8) for n in (10**5, 10**8, 10**10)] == sorted(best_agree(n, 8) for n in (10**5, 10**8, 10**10)) and best_agree(10**5, 4) == 2 < best_agree(10**10, 8)
 
 
 def test_components_of_long_chains(spark):
