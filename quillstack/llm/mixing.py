@@ -57,7 +57,7 @@ def class_copies(classes: DataFrame, targets: DataFrame) -> DataFrame:
     rest = Window.partitionBy("source").orderBy(F.desc("x")).rowsBetween(Window.currentRow, Window.unboundedFollowing)
     own = Window.partitionBy("source")
     known = classes.join(targets.withColumnRenamed("source", "_s"), F.col("source").eqNullSafe(F.col("_s"))).drop("_s")
-    known = known.withColumn("level", (F.col("target") - F.coalesce(F.sum("size").over(falling), F.lit(0)) * MOST) / F.sum(F.col("x") * F.col("size")).over(rest))
+    known = known.withColumn("level", F.try_divide(F.col("target") - F.coalesce(F.sum("size").over(falling), F.lit(0)) * MOST, F.sum(F.col("x") * F.col("size")).over(rest)))
     free = F.coalesce(F.col("level") * F.col("x") < MOST, F.lit(False))
     known = known.withColumn("free", free).withColumn("level", F.max(F.when(free, F.struct("x", "level"))).over(own)["level"])
     copies = F.when(F.col("target") <= 0, F.lit(0.0)).when(F.col("free"), F.col("level") * F.col("x")).otherwise(F.lit(float(MOST)))

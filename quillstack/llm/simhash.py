@@ -34,7 +34,7 @@ from .components import components
 
 SEED, SHINGLE, LIMIT = 42, 4, 4
 LANES = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1, bitorder="little").view("<u8").ravel()
-FAN, CHUNK = 16, 1 << 20
+FAN, CHUNK, PER_GROUP = 16, 1 << 20, 400_000
 
 
 # ---------------------------------------------------------------- fingerprints
@@ -256,7 +256,9 @@ def links(unique: DataFrame, limit: int = LIMIT, agree: int | None = None, guard
     """(a, b): links that span all pairs of distinct nodes (fp, second, node) within ``limit`` bits (and the guard's)."""
     spark = unique.sparkSession
     ship(spark)
-    masks, n, sides = block_masks(limit, agree or best_agree(unique.count(), limit)), width(spark, unique, 1 << 20), 1 if guard is None else 2
+    nodes, sides = unique.count(), 1 if guard is None else 2
+    masks = block_masks(limit, agree or best_agree(nodes, limit))
+    n = max(width(spark), -(-nodes * sides * len(masks) // PER_GROUP))
 
     def deal(batches):
         for batch in batches:

@@ -254,6 +254,7 @@ def test_language_id(docs, none, spark):
     path = public_tokenizers.path("piece_bpe_32k.model")
     say = {"en": "the house and the garden were near the old town", "fr": "la maison et le jardin sont dans la vieille ville", "de": "das haus und der garten sind in der alten stadt"}
     rows = [(i, say[lang] if i % 3 else say[lang].upper(), lang, "s", "x", 1) for i in range(60) for lang in [("en", "fr", "de")[i % 3]]]
+    rows.append((200, say["en"] + " x" * 100_000 + " " + "garden" * 5000, "en", "s", "x", 1))  # a very long text with a very long word may teach, too
     rows += [(100, None, "en", "s", "x", 1), (101, "12 34 !", "fr", "s", "x", 1), (102, "", None, "s", "x", 1), (103, "x" * 3000, None, "s", "x", 1), (None, "le jardin", "fr", "s", "x", 1)]
     got = {r.doc_id: r for r in identify(frame(spark, rows), path).collect()}
     assert all(got[i].lang_pred == ("en", "fr", "de")[i % 3] and 0 <= got[i].score <= 1 for i in range(60))
@@ -370,6 +371,17 @@ def test_mix(docs, none):
     assert mix(none).count() == 0
 
 
+def test_mix_of_sources_without_words(spark):
+    from quillstack.llm.mixing import mix
+
+    rows = [(1, None, None, "empty", "", 0), (2, "", None, "empty", "", 0), (3, "a b c d e", None, "some", "", 0), (4, None, None, "some", "", 0), (5, "a", None, None, "", 0)]
+    got = {r.doc_id: (r.size, r.source_size, r.target, r.taken) for r in mix(frame(spark, rows)).collect()}
+    # All can't take more than twice their size: six words, nine wanted, empty takes none, null (weight 1) is filled up last.
+    assert {k: v[:2] for k, v in got.items()} == {1: (0, 0), 2: (0, 0), 3: (5, 5), 4: (0, 5), 5: (1, 1)}
+    assert got[1][2:] == got[2][2:] == (0.0, 0) and got[3][3] in (5, 10) and got[4][3] == 0 and sum({got[3][2], got[5][2]}) == 9.0
+    assert all(v[3] == 0 for v in ((r.size, r.source_size, r.target, r.taken) for r in mix(frame(spark, rows[:2])).collect()))
+
+
 def test_mix_includes_documents_at_their_odds(spark):
     from pyspark.sql import functions as F
 
