@@ -25,11 +25,11 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import raw, ship, slices, spread, width, written
+from .common import crowded, raw, ship, slices, spread, width, written
 
 BLOCK, PERCENTILE, END_ID = 128, 0.9, 2
 SHARD_TOKENS = 1 << 20
-CACHE_WORDS = 400_000
+CACHE_WORDS = 250_000
 MAGIC = b"QPFR"
 
 
@@ -58,10 +58,11 @@ def pack(ids: np.ndarray) -> tuple[np.ndarray, bytes]:
     out[offsets[:-1, None] + np.arange(6)] = head
     for w in np.unique(bits):
         if w:
-            own = np.flatnonzero(bits == w)
-            grid = (diff[own][:, :, None] >> np.arange(w, dtype=np.uint32)) & 1
-            packed = np.packbits(grid.astype(np.uint8).reshape(len(own), -1), axis=1, bitorder="little")
-            out[offsets[own][:, None] + 6 + np.arange(BLOCK // 8 * w)] = packed
+            every = np.flatnonzero(bits == w)
+            for s in range(0, len(every), 2048):
+                own = every[s : s + 2048]
+                grid = np.unpackbits(diff[own].astype("<u4").view(np.uint8).reshape(-1, 4), axis=1, bitorder="little")[:, :w]
+                out[offsets[own][:, None] + 6 + np.arange(BLOCK // 8 * w)] = np.packbits(grid.reshape(len(own), -1), axis=1, bitorder="little")
     if late.any():
         row, col = np.nonzero(late)
         first = np.zeros(n, np.int64)
@@ -132,6 +133,18 @@ EASY = re.compile("[\t-\r -~À-ÿ]*")
 EASY_PIECE = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[!-/:-@\\[-`{-~×÷]+")
 
 
+class Numbers(dict):
+    """Numbers of parts, in the order of their first sight; ``new`` holds those that have no ids yet."""
+
+    def __init__(self):
+        self.new: list[str | bytes] = []
+
+    def __missing__(self, part: str | bytes) -> int:
+        self.new.append(part)
+        self[part] = n = len(self)
+        return n
+
+
 class WordEncoder:
     """Ids of whole texts from the ids of their parts.
 
@@ -150,7 +163,7 @@ class WordEncoder:
         self.clear()
 
     def clear(self) -> None:
-        self.index: dict[str | bytes, int] = {}
+        self.index = Numbers()
         self.start, self.length, self.flat = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint32)
 
     def parts(self, text: bytes | None) -> list[str | bytes]:
@@ -176,7 +189,6 @@ class WordEncoder:
         self.start = np.concatenate((self.start, len(self.flat) + np.cumsum(size) - size))
         self.length = np.concatenate((self.length, size))
         self.flat = np.concatenate((self.flat, np.fromiter(chain.from_iterable(rows), np.uint32, int(size.sum()))))
-        self.index.update(zip(new, range(len(self.index), len(self.index) + len(new)), strict=True))
 
     def encode(self, texts: list[bytes | None], end: int) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts, each followed by ``end``; count of each)."""
@@ -184,13 +196,10 @@ class WordEncoder:
         parts = list(chain.from_iterable(split))
         if len(self.index) > CACHE_WORDS:
             self.clear()
-        known = list(map(self.index.get, parts))
-        gaps = [i for i, x in enumerate(known) if x is None]
-        if gaps:
-            self.learn(list({parts[i] for i in gaps}))
-            for i in gaps:
-                known[i] = self.index[parts[i]]
-        at = np.array(known, np.int64)
+        at = np.fromiter(map(self.index.__getitem__, parts), np.int64, len(parts))
+        if self.index.new:
+            self.learn(self.index.new)
+            self.index.new = []
         size = self.length[at]
         upto = np.concatenate(([0], np.cumsum(size)))
         per_doc = np.diff(upto[np.cumsum([0, *map(len, split)])])
@@ -212,9 +221,13 @@ def write_shards(docs: DataFrame, vocabulary: str, end_id: int = END_ID, id_col:
     spark = docs.sparkSession
     ship(spark)
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    rows = spread(rows.withColumn("rk", F.xxhash64("doc_id", "text")), "doc_id", "rk")
     order = (F.col("doc_id").asc_nulls_first(), "rk", "copy")
-    dealt = rows.repartitionByRange(width(spark, docs), *order).sortWithinPartitions(*order).select("doc_id", "text", "copies")
+    key, n = F.xxhash64("doc_id", "text"), width(spark, docs)
+    if crowded(rows, "doc_id"):  # ranges of ids would keep very many rows together
+        dealt = spread(rows.withColumn("rk", key), "doc_id", "rk").repartitionByRange(n, *order)
+    else:
+        dealt = rows.repartitionByRange(n, order[0]).withColumns({"rk": key, "copy": F.lit(0), "copies": F.lit(1)})
+    dealt = dealt.sortWithinPartitions(*order).select("doc_id", "text", "copies")
 
     def run(batches):
         enc, part = encoder(vocabulary), TaskContext.get().partitionId()
@@ -227,11 +240,11 @@ def write_shards(docs: DataFrame, vocabulary: str, end_id: int = END_ID, id_col:
             names, counts, ids, held = [], [], [], 0
             return out
 
-        for batch in batches:
+        for batch in (whole.slice(s, 500) for whole in batches for s in range(0, whole.num_rows, 500)):
             texts, doc_ids = raw(batch, "text"), batch.column("doc_id").to_pylist()
             if max(copies := batch.column("copies").to_pylist(), default=1) > 1:
                 texts, doc_ids = ([x for x, n in zip(xs, copies, strict=True) for _ in range(n)] for xs in (texts, doc_ids))
-            for a, b in slices(texts):
+            for a, b in slices(texts, 1_000_000):
                 got, n = enc.encode(texts[a:b], end_id)
                 names += doc_ids[a:b]
                 counts.append(n)
