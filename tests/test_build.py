@@ -157,3 +157,26 @@ def test_redacted_copy_keeps_its_shape(spark, work):
     again = assemble_all(copied).concepts
     assert checks.shape_diff(real, again).count() == 0 and concept_counts(again).first().n == 3
     assert {r["name"]: r["body"] for r in real.collect()} != {r["name"]: r["body"] for r in again.collect()}
+
+
+def test_redacting_a_workspace(spark, work, tmp_path):
+    from dataclasses import replace
+
+    from quillstack.plans.redaction import differences, redact
+    from quillstack.sources.transcripts import frontmatter
+    from pyspark.sql import functions as F
+
+    docs = [d for d in work.manifest["documents"] if d["id"] in ("good", "word", "lines")]
+    only = replace(work, manifest={"documents": docs})
+    made = redact(only, {"documents": {"good": {"method": "transcript"}, "word": {"method": "docx", "titles-after": ["^X"], "keep": [r"^\d+\)"]}}})  # such numbers are no numbering by themselves
+    assert made.skipped == {"lines": "no redaction settings"}
+    copies = {r.path: bytes(r.content) for r in made.copies.collect()}
+    assert set(copies) == {"sources/good.pdf", "transcripts/good.md", "sources/w.docx"}
+    head, body = frontmatter(F.decode("content", "utf-8"))
+    transcripts = made.copies.where("path like 'transcripts/%'").select("doc_id", head.alias("yaml"), body.alias("body"))
+    sources = made.copies.where("path like 'sources/%'").select("doc_id", F.substring_index("path", "/", -1).alias("name"), "content")
+    copied = replace(only, transcripts=transcripts, sources=sources, raw=None)
+    got = {(r.doc_id, r.problem) for r in differences(only, copied).collect()}
+    assert got == {("lines", "source not found: l.pdf")}  # the new hash is recorded, names, titles and places are the same
+    stale = replace(copied, sources=sources.withColumn("content", F.lit(b"other")).where("doc_id = 'good'"))
+    assert {r.doc_id for r in differences(only, stale).collect()} == {"good", "word", "lines"}
