@@ -24,7 +24,7 @@ from .common import WORD, written
 
 WEIGHTS = (5, 2, 1)
 SHARE, MOST = 1.5, 2
-BINS, ROUNDS = 4096, 3
+BINS, ROUNDS = 512, 4
 STEPS, MOST_WEIGHT = 64, 1024
 
 
@@ -106,7 +106,7 @@ def mix(docs: DataFrame, seed: int = 0, weight: Column | None = None) -> DataFra
                 F.coalesce(F.col("b.done"), F.col("done")).alias("done"),
             ), "mix-cut",
         )
-    # What is left lies within 4096**-3 of the rank's range: rows with (nearly) the same draw. One step decides.
+    # What is left lies within 512**-4 of the rank's range: rows with (nearly) the same draw. One step decides.
     last = by_source(drawn, cut, "inner").where((F.col("z") >= F.col("lo")) & (F.col("z") < F.col("hi"))).groupBy("source").agg(F.sum("size").alias("tail"))
     edge = by_source(cut, last)
     both = F.col("done") + F.coalesce(F.col("tail"), F.lit(0))
