@@ -7,6 +7,9 @@ null ids are ordinary values (joins are null-safe).
 
 from __future__ import annotations
 
+import ctypes
+import gc
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -92,6 +95,19 @@ def spread(rows: DataFrame, *keys: str) -> DataFrame:
     return one.join(many, same, "left_anti").unionByName(repeated)
 
 
+_user: list = ["", lambda: None]
+
+
+def take_over(name: str, forget=lambda: None) -> None:
+    """A worker process serves one operator after another: what the one before keeps goes when another starts."""
+    if _user[0] != name:
+        _user[1]()
+        gc.collect()
+        if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):
+            trim(0)
+    _user[:] = name, forget
+
+
 def keyed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, text, rk): only the columns needed, whatever else the table holds."""
     return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).withColumn("rk", F.xxhash64("doc_id", "text"))
@@ -111,6 +127,13 @@ def raw(batch: pa.RecordBatch | pa.Table, name: str) -> list[bytes | None]:
     return batch.column(name).cast(pa.binary()).to_pylist()
 
 
+def parts(batches, rows: int = 500):
+    """Batches in smaller ones, so that only a part of the texts is held as Python objects."""
+    for batch in batches:
+        for s in range(0, batch.num_rows, rows):
+            yield batch.slice(s, rows)
+
+
 def slices(texts: list[bytes | None], most: int = 2_000_000):
     """Runs (from, to) of texts of about ``most`` bytes, so that working memory is bounded."""
     at, held = 0, 0

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import keyed, raw, ship, slices, width, written
+from .common import keyed, parts, raw, ship, slices, take_over, width, written
 
 SAMPLE, STEPS, SMOOTH = 1000, 3, 0.1
 LONGEST, SHORT, RUN = 16, 33, 256
@@ -191,7 +191,28 @@ def pieces_of(model_file: str) -> list[str]:
     return [sp.id_to_piece(i) if not (sp.is_control(i) or sp.is_unknown(i) or sp.is_byte(i)) else "" for i in range(sp.get_piece_size())]
 
 
+# What a worker process keeps between its tasks. Functions of this module find it; closures would carry copies.
 _pieces: dict[str, Pieces] = {}
+_scorers: dict[str, Scorer] = {}
+
+
+def forget() -> None:
+    _pieces.clear()
+    _scorers.clear()
+
+
+def pieces_named(name: str, pieces: list[str]) -> Pieces:
+    if name not in _pieces:
+        _pieces.clear()
+        _pieces[name] = Pieces(pieces)
+    return _pieces[name]
+
+
+def scorer_named(name: str, pieces: list[str], probs: np.ndarray) -> Scorer:
+    if name not in _scorers:
+        forget()
+        _scorers[name] = Scorer(Unigrams(pieces, probs))
+    return _scorers[name]
 
 
 def train(rows: DataFrame, vocabulary: str, sample: int = SAMPLE) -> tuple[list[str], list[str], np.ndarray]:
@@ -221,11 +242,9 @@ def train(rows: DataFrame, vocabulary: str, sample: int = SAMPLE) -> tuple[list[
                 yield pa.RecordBatch.from_pydict({"lang": pa.array([k[0] for k in rows], pa.string()), "word": pa.array([k[1] for k in rows], pa.string()), "n": pa.array(list(rows.values()), pa.int64())})
 
     def uses(batches):
+        take_over("language", forget)
         langs, pieces, probs = sent.value
-        if name not in _pieces:
-            _pieces.clear()
-            _pieces[name] = Pieces(pieces)
-        model, total, kept = Unigrams(_pieces[name], probs), np.zeros(probs.shape, np.int64), {}
+        model, total, kept = Unigrams(pieces_named(name, pieces), probs), np.zeros(probs.shape, np.int64), {}
         at = {x: i for i, x in enumerate(langs)}
 
         def learn():
@@ -294,9 +313,6 @@ class Scorer:
         return out
 
 
-_scorers: dict[str, Scorer | None] = {}
-
-
 def identify(docs: DataFrame, vocabulary: str, folds: int = 4, held: int = 2, sample: int = SAMPLE) -> DataFrame:
     """(doc_id, rk, held_out, lang_pred, score); rows with crc32(doc_id) % folds = held never teach."""
     spark = docs.sparkSession
@@ -306,12 +322,10 @@ def identify(docs: DataFrame, vocabulary: str, folds: int = 4, held: int = 2, sa
     rows, name = keyed(docs).withColumn("held_out", fold), uuid.uuid4().hex
 
     def run(batches):
+        take_over("language", forget)
         langs, pieces, probs = sent.value
-        if name not in _scorers:
-            _scorers.clear()
-            _scorers[name] = Scorer(Unigrams(pieces, probs)) if langs else None
-        scorer = _scorers[name]
-        for batch in batches:
+        scorer = scorer_named(name, pieces, probs) if langs else None
+        for batch in parts(batches, 2000):
             texts = raw(batch, "text")
             for a, b in slices(texts):
                 named, score = ["und"] * (b - a), np.zeros(b - a)

@@ -24,7 +24,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import SPACE, keyed, raw, same_row, ship, slices, width, written
+from .common import SPACE, keyed, parts, raw, same_row, ship, slices, take_over, width, written
 
 BITS_PER_LINE, HASHES, PER_BUCKET, SLICE = 12, 4, 200_000, 8_000_000
 U = np.uint64
@@ -80,8 +80,9 @@ def signatures(rows: DataFrame, min_chars: int) -> DataFrame:
     kind = rows.schema["doc_id"].dataType.simpleString()
 
     def run(batches):
+        take_over("line_dedup")
         part, number = TaskContext.get().partitionId(), 0
-        for batch in batches:
+        for batch in parts(batches, 2000):
             texts, names, rks = raw(batch, "text"), batch.column("doc_id"), batch.column("rk")
             for a, b in slices(texts, SLICE):
                 doc, keys, lines = [], [], []
@@ -184,7 +185,8 @@ def line_dedup(docs: DataFrame, min_docs: int = 10, min_chars: int = 1) -> DataF
     kind = rows.schema["doc_id"].dataType.simpleString()
 
     def cut(batches):
-        for batch in batches:
+        take_over("line_dedup")
+        for batch in parts(batches):
             texts, lines = raw(batch, "text"), batch.column("lines").to_pylist()
             n, gone, kept = [], [], []
             for t, drop in zip(texts, lines, strict=True):

@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import by_group, dealt, keyed, raw, ship, slices, width, written
+from .common import by_group, dealt, keyed, parts, raw, ship, slices, take_over, width, written
 from .components import components
 
 SEED, SHINGLE, LIMIT = 42, 4, 4
@@ -79,7 +79,8 @@ def fingerprints(docs: DataFrame, shingle: int = SHINGLE, guarded: bool = False)
     rows = keyed(docs)
 
     def run(batches):
-        for batch in batches:
+        take_over("simhash")
+        for batch in parts(batches, 2000):
             texts = raw(batch, "text")
             for a, b in slices(texts):
                 own = [shingle_hashes(t, shingle) for t in texts[a:b]]

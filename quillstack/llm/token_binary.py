@@ -25,7 +25,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import crowded, raw, ship, slices, spread, width, written
+from .common import crowded, parts, raw, ship, slices, spread, take_over, width, written
 
 BLOCK, PERCENTILE, END_ID = 128, 0.9, 2
 SHARD_TOKENS = 1 << 20
@@ -210,6 +210,10 @@ class WordEncoder:
 _encoders: dict[str, WordEncoder] = {}
 
 
+def forget() -> None:
+    _encoders.clear()
+
+
 def encoder(path: str) -> WordEncoder:
     if path not in _encoders:
         _encoders[path] = WordEncoder(path)
@@ -230,6 +234,7 @@ def write_shards(docs: DataFrame, vocabulary: str, end_id: int = END_ID, id_col:
     dealt = dealt.sortWithinPartitions(*order).select("doc_id", "text", "copies")
 
     def run(batches):
+        take_over("tokens", forget)
         enc, part = encoder(vocabulary), TaskContext.get().partitionId()
         names, counts, ids, held, base, shard = [], [], [], 0, 0, 0
 
@@ -240,7 +245,7 @@ def write_shards(docs: DataFrame, vocabulary: str, end_id: int = END_ID, id_col:
             names, counts, ids, held = [], [], [], 0
             return out
 
-        for batch in (whole.slice(s, 500) for whole in batches for s in range(0, whole.num_rows, 500)):
+        for batch in parts(batches):
             texts, doc_ids = raw(batch, "text"), batch.column("doc_id").to_pylist()
             if max(copies := batch.column("copies").to_pylist(), default=1) > 1:
                 texts, doc_ids = ([x for x, n in zip(xs, copies, strict=True) for _ in range(n)] for xs in (texts, doc_ids))
