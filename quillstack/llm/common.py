@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import ctypes
 import gc
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -127,6 +128,18 @@ def raw(batch: pa.RecordBatch | pa.Table, name: str) -> list[bytes | None]:
     return batch.column(name).cast(pa.binary()).to_pylist()
 
 
+@contextmanager
+def batches_of(spark: SparkSession, rows: int = 1000):
+    """Python workers get so many rows at once for what is run inside: texts are held in small lots on both sides."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    was = spark.conf.get(key)
+    spark.conf.set(key, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, was)
+
+
 def parts(batches, rows: int = 500):
     """Batches in smaller ones, so that only a part of the texts is held as Python objects."""
     for batch in batches:

@@ -24,7 +24,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import SPACE, keyed, parts, raw, same_row, ship, slices, take_over, width, written
+from .common import SPACE, batches_of, keyed, parts, raw, same_row, ship, slices, take_over, width, written
 
 BITS_PER_LINE, HASHES, PER_BUCKET, SLICE = 12, 4, 200_000, 8_000_000
 U = np.uint64
@@ -113,7 +113,8 @@ def repeated_lines(docs: DataFrame, min_docs: int = 10, min_chars: int = 1, per_
     ship(docs.sparkSession)
     rows = keyed(docs)
     kind = rows.schema["doc_id"].dataType.simpleString()
-    signed = written(signatures(rows, min_chars), "line-signatures")
+    with batches_of(docs.sparkSession, 5000):
+        signed = written(signatures(rows, min_chars), "line-signatures")
     total = signed.agg(F.sum("n")).first()[0] or 0
     buckets = max(1, -(-total // per_bucket))
 

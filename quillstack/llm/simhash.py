@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import by_group, dealt, keyed, parts, raw, ship, slices, take_over, width, written
+from .common import batches_of, by_group, dealt, keyed, parts, raw, ship, slices, take_over, width, written
 from .components import components
 
 SEED, SHINGLE, LIMIT = 42, 4, 4
@@ -295,7 +295,8 @@ def links(unique: DataFrame, limit: int = LIMIT, agree: int | None = None, guard
 
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, limit: int = LIMIT, agree: int | None = None, guard: int | None = None) -> DataFrame:
     """(doc_id, rk, fp, fingerprint, component_id, root); root is a node of the component, its own even where all ids are null."""
-    prints = written(fingerprints(docs, shingle, guard is not None), "simhash")
+    with batches_of(docs.sparkSession, 2000):
+        prints = written(fingerprints(docs, shingle, guard is not None), "simhash")
     unique = written(prints.groupBy("node").agg(F.min("doc_id").alias("first"), F.min("fp").alias("fp"), F.min("second").alias("second")), "simhash-unique")
     roots = components(links(unique, limit, agree, guard))
     named = written(unique.select("node", "first").join(roots, "node", "left").select("node", "first", F.coalesce("root", "node").alias("root")), "simhash-roots")

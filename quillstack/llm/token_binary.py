@@ -25,7 +25,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import crowded, parts, raw, ship, slices, spread, take_over, width, written
+from .common import batches_of, crowded, parts, raw, ship, slices, spread, take_over, width, written
 
 BLOCK, PERCENTILE, END_ID = 128, 0.9, 2
 SHARD_TOKENS = 1 << 20
@@ -260,7 +260,8 @@ def write_shards(docs: DataFrame, vocabulary: str, end_id: int = END_ID, id_col:
         if names:
             yield close()
 
-    return written(dealt.mapInArrow(run, "part int, shard int, n_tokens long, content binary"), "token-shards")
+    with batches_of(spark):
+        return written(dealt.mapInArrow(run, "part int, shard int, n_tokens long, content binary"), "token-shards")
 
 
 def read_tokens(shards: DataFrame) -> DataFrame:
